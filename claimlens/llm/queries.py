@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from claimlens.llm import gif, mixing, sharding
+from claimlens.llm import gif, mixing, secret_scan, sharding
 
 
 def queries() -> dict:
     return {
         "op3_mixing": mixing.op3,
+        "op6_secrets": secret_scan.op6,
         "op8_gif": gif.op8,
         "op10_hilbert_shards": sharding.op10,
     }
