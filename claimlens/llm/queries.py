@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from claimlens.llm import gif, mixing, secret_scan, sharding
+from claimlens.llm import gif, mixing, quality, secret_scan, sharding
 
 
 def queries() -> dict:
     return {
+        "op1_quality": quality.op1,
         "op3_mixing": mixing.op3,
         "op6_secrets": secret_scan.op6,
         "op8_gif": gif.op8,
