@@ -66,15 +66,23 @@ class Index:
         self.seen[self.vocabulary & np.uint64((1 << 22) - 1)] = True
         cuts = np.linspace(0, 64, radius + 2).astype(int)
         self.cuts = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+        if max(b - a for a, b in self.cuts) > 8:
+            raise ValueError("blocks are to be 8 bits at most: a radius of 7 or more")
         self.radius = radius
-        self.by_length: dict[int, list[dict[int, list[int]]]] = {}
+        by: dict[int, list[int]] = defaultdict(list)
         for i, n in enumerate(self.lengths):
-            blocks = self.by_length.setdefault(n, [defaultdict(list) for _ in self.cuts])
-            for b, value in zip(blocks, self.blocks(self.prints[i : i + 1]), strict=True):
-                b[int(value[0])].append(i)
+            by[n].append(i)
+        # for each length and block: which items have a block value
+        self.by_length = {n: (np.array(own), [self._table(own, *cut) for cut in self.cuts]) for n, own in by.items()}
 
-    def blocks(self, prints: np.ndarray) -> list[np.ndarray]:
-        return [(prints >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1) for a, b in self.cuts]
+    def _table(self, own: list[int], a: int, b: int) -> np.ndarray:
+        out = np.zeros((1 << (b - a), len(own)), bool)
+        out[self.block(self.prints[own], a, b), np.arange(len(own))] = True
+        return out
+
+    @staticmethod
+    def block(prints: np.ndarray, a: int, b: int) -> np.ndarray:
+        return ((prints >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1)).astype(np.int64)
 
     def known(self, h: np.ndarray) -> np.ndarray:
         """Which hashes are shingles of any item."""
@@ -100,22 +108,19 @@ class Index:
         hits = np.concatenate([[0], np.cumsum(hit)])
         votes = np.zeros((len(h) + 1, 64), np.int32)
         np.cumsum(signs(h), axis=0, out=votes[1:])
-        for length, blocks in self.by_length.items():
+        for length, (items, tables) in self.by_length.items():
             span = max(1, min(length, n_words) - self.size + 1)  # shingles in a window
             starts = np.flatnonzero(hits[span:] > hits[: len(hits) - span])
             starts = starts[starts < n_starts]
             if not len(starts):
                 continue
             prints = packed(votes[starts + span] - votes[starts])
-            found: set[tuple[int, int]] = set()
-            for b, values in zip(blocks, self.blocks(prints), strict=True):
-                for value, items in b.items():
-                    near = np.flatnonzero(values == np.uint64(value))
-                    if len(near):
-                        for i in items:
-                            apart = np.bitwise_count(prints[near] ^ self.prints[i])
-                            found.update((i, int(s)) for s in starts[near[apart <= self.radius]])
-            for i, s in sorted(found):
+            agree = np.zeros((len(starts), len(items)), bool)
+            for table_of, cut in zip(tables, self.cuts, strict=True):
+                agree |= table_of[self.block(prints, *cut)]
+            at, which = np.nonzero(agree)
+            near = np.bitwise_count(prints[at] ^ self.prints[items[which]]) <= self.radius
+            for i, s in zip(items[which[near]].tolist(), starts[at[near]].tolist(), strict=True):
                 own, item = Counter(h[s : s + span].tolist()), self.weights[i]
                 both = sum(min(c, item[x]) for x, c in own.items() if x in item)
                 similar = both / (own.total() + item.total() - both)
