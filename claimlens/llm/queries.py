@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from claimlens.llm import decontaminate, gif, mixing, quality, secret_scan, sharding
+from claimlens.llm import decontaminate, gif, minhash, mixing, quality, secret_scan, sharding
 
 
 def queries() -> dict:
     return {
         "op1_quality": quality.op1,
         "op3_mixing": mixing.op3,
+        "op4_minhash": minhash.op4,
         "op5_decontamination": decontaminate.op5,
         "op6_secrets": secret_scan.op6,
         "op8_gif": gif.op8,
