@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from claimlens.llm import decontaminate, gif, minhash, mixing, quality, secret_scan, sharding
+from claimlens.llm import decontaminate, gif, minhash, mixing, quality, secret_scan, seed_extend, sharding
 
 
 def queries() -> dict:
@@ -12,10 +12,13 @@ def queries() -> dict:
         "op4_minhash": minhash.op4,
         "op5_decontamination": decontaminate.op5,
         "op6_secrets": secret_scan.op6,
+        "op7_seed_extend": seed_extend.op7,
         "op8_gif": gif.op8,
         "op10_hilbert_shards": sharding.op10,
     }
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {
+        "op7_seed_extend": seed_extend.SQL,
+    }
