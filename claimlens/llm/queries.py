@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from claimlens.llm import decontaminate, gif, minhash, mixing, quality, secret_scan, seed_extend, sharding
+from claimlens.llm import bwt_dedup, decontaminate, gif, minhash, mixing, quality, secret_scan, seed_extend, sharding
 
 
 def queries() -> dict:
     return {
         "op1_quality": quality.op1,
+        "op2_bwt_dedup": bwt_dedup.op2,
         "op3_mixing": mixing.op3,
         "op4_minhash": minhash.op4,
         "op5_decontamination": decontaminate.op5,

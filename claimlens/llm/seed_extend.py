@@ -12,7 +12,6 @@ before all others; an empty table gives an empty result; other columns of the in
 
 from __future__ import annotations
 
-import hashlib
 from itertools import groupby
 
 import numpy as np
