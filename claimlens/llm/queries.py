@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from claimlens.llm import bwt_dedup, decontaminate, gif, minhash, mixing, quality, secret_scan, seed_extend, sharding
+from claimlens.llm import bwt_dedup, decontaminate, gif, interpolation, minhash, mixing, quality, secret_scan, seed_extend, sharding
 
 
 def queries() -> dict:
@@ -15,6 +15,7 @@ def queries() -> dict:
         "op6_secrets": secret_scan.op6,
         "op7_seed_extend": seed_extend.op7,
         "op8_gif": gif.op8,
+        "op9_interpolation": interpolation.op9,
         "op10_hilbert_shards": sharding.op10,
     }
 
