@@ -1,8 +1,81 @@
-"""Placeholder; the stages follow."""
+"""From raw documents to training shards in five stages, each a numbered operator with its decisions applied.
 
+STAGES holds (name, function); a function takes (spark, docs, sf_dir) and returns the documents it keeps, with
+all their columns. Each stage is written as Parquet and read again as the next one's docs. The last stage adds
+where each document goes: shard, slot, size, text_crc32 and hilbert (columns of documents of these names give way).
+
+Rows without doc_id pass the stages that decide by id. A mix that repeats a document repeats its row."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from claimlens.llm import decontaminate, minhash, mixing, quality, sharding
+from claimlens.llm.common import saved, table
+
+#: Sharding isn't native SQL and the classifier is trained, so no SQL gives these rows.
 ORACLE_SQL = None
-STAGES = []
+
+#: Percent of shingles that near copies share here: the general threshold of near-duplicate stages.
+NEAR_PERCENT = 80
+N_SHARDS = 24
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs but those whose doc_id is in ids (a column _gone)."""
+    return docs.join(ids, docs["doc_id"] == ids["_gone"], "left_anti")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    rated = quality.scored(docs, model)
+    return rated.where(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = minhash.near_groups(docs.select("doc_id", "text"), NEAR_PERCENT)
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = without(docs, gone)
+    if docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty():
+        return kept
+    # of rows that repeat a doc_id the one with the least text hash stays
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit("")))))
+    return kept.withColumn("_nth", first).where("_nth = 1 or doc_id is null").select(*docs.columns)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return without(docs, found.select(F.col("doc_id").alias("_gone")).distinct())
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    key = F.xxhash64(F.coalesce("text", F.lit("")), "source", "lang")
+    placed = sharding.shards(docs.withColumn("_key", key), N_SHARDS, "rows", ["doc_id", "_key"])
+    added = ["shard", "slot", "size", "text_crc32", "hilbert"]
+    # copies of a row are alike: each takes one of the places of its kind
+    places = placed.groupBy(F.col("row.doc_id").alias("_pid"), F.col("row._key").alias("_pkey")).agg(F.sort_array(F.collect_list(F.struct(*added))).alias("_places"))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "_key").orderBy(F.lit(1)))
+    rows = docs.withColumn("_key", key).withColumn("_nth", nth)
+    out = rows.join(places, rows["doc_id"].eqNullSafe(places["_pid"]) & (rows["_key"] == places["_pkey"])).withColumn("_at", F.col("_places")[F.col("_nth") - 1])
+    return out.select(*[c for c in docs.columns if c not in added], *[F.col("_at")[c].alias(c) for c in added])
+
+
+STAGES = [
+    ("quality_classifier", keep_good),
+    ("minhash_near_dedup", keep_one_of_each_group),
+    ("benchmark_decontamination", drop_benchmark),
+    ("source_mixing", mix_sources),
+    ("hilbert_sharding", cut_shards),
+]
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
