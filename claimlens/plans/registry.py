@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from claimlens.plans import feature_queries
+
+MODULES = [feature_queries]
+
 
 def queries() -> dict:
-    return {}
+    return {k: v for m in MODULES for k, v in m.queries().items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {k: v for m in MODULES for k, v in m.oracle_sql().items()}
 
 
 def flagship(spark, sf_dir):
-    raise NotImplementedError
+    return feature_queries.queries()["order_features"](spark, sf_dir)
