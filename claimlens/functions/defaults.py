@@ -45,7 +45,7 @@ LADDER_OVERLAYS = [("SG", "food", (32.0, 48.0, 72.0)), ("ID", "food", (30.0, 46.
 ABUSE_LADDER = (35.0, 50.0, 75.0)
 FRAUD_LADDER = (30.0, 45.0, 65.0)
 TIERS = ("auto_approve", "soft_friction", "hold_review", "auto_deny")
-EFFECTS = ("refund_grant", "refund_step_up", "refund_manual_review", "refund_block")
+EFFECTS = ("refund_auto_grant", "refund_step_up", "refund_manual_review", "refund_block")
 CHALLENGES = ("none", "payment_verify", "identity_verify", "identity_verify")
 ELEVATION_DELTA = 10.0
 
