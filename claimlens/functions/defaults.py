@@ -57,10 +57,10 @@ EFFECT_RULES = [
     {"id": "high_device_risk_step_up", "mode": "live", "when": {"min_device_risk_score": 70}, "effect": "refund_step_up", "reason": "EFFECT_DEVICE_RISK"},
 ]
 CHALLENGE_RULES = [
-    {"id": "soft_payment_verify", "mode": "live", "when": {"tiers": ["soft_friction"], "min_decision_score": 30}, "effect": "payment_verify", "reason": "CHALLENGE_SOFT_PAYMENT"},
-    {"id": "hold_identity_verify", "mode": "live", "when": {"tiers": ["hold_review"], "min_decision_score": 45}, "effect": "identity_verify", "reason": "CHALLENGE_HOLD_IDENTITY"},
-    {"id": "collusion_identity_shadow", "mode": "shadow", "when": {"min_uv_mo_possible_collusion": 1, "min_decision_score": 35}, "effect": "identity_verify", "reason": "CHALLENGE_COLLUSION_SHADOW"},
-    {"id": "ai_image_in_app_capture", "mode": "live", "when": {"min_claim_image_ai_risk": 0.75, "tiers": ["soft_friction", "hold_review"]}, "effect": "in_app_capture", "reason": "CHALLENGE_IN_APP_CAPTURE"},
+    {"id": "soft_payment_verify", "mode": "live", "when": {"tiers": ["soft_friction"], "min_decision_score": 30}, "challenge": "payment_verify", "reason": "CHALLENGE_SOFT_PAYMENT"},
+    {"id": "hold_identity_verify", "mode": "live", "when": {"tiers": ["hold_review"], "min_decision_score": 45}, "challenge": "identity_verify", "reason": "CHALLENGE_HOLD_IDENTITY"},
+    {"id": "collusion_identity_shadow", "mode": "shadow", "when": {"min_uv_mo_possible_collusion": 1, "min_decision_score": 35}, "challenge": "identity_verify", "reason": "CHALLENGE_COLLUSION_SHADOW"},
+    {"id": "ai_image_in_app_capture", "mode": "live", "when": {"min_claim_image_ai_risk": 0.75, "tiers": ["soft_friction", "hold_review"]}, "challenge": "in_app_capture", "reason": "CHALLENGE_IN_APP_CAPTURE"},
 ]
 
 # Refund budget.

@@ -86,16 +86,12 @@ def uv_edges(history: DataFrame, null_test: bool = True, buckets: int = 1) -> Da
 
 def uv_nodes(edges: DataFrame) -> DataFrame:
     """Users and vendors of elevated edges; the commonest tag, of several the first in order."""
-    up = edges.where("elevated")
-
-    def side(kind: str) -> DataFrame:
-        key = [*SLICE, f"{kind}_id"]
-        tags = up.groupBy(*key, "mo_tag").agg(F.count("*").alias("_c"))
-        best = tags.withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy(F.col("_c").desc(), "mo_tag"))).where("_k = 1").select(*key, "mo_tag")
-        sums = up.groupBy(*key).agg(F.count("*").alias("n_partners"), F.sum("n_orders").alias("n_orders"), F.sum("n_refunds").alias("n_refunds"), F.max("edge_anomaly").alias("node_anomaly"))
-        return sums.join(best, key).select(*SLICE, F.lit(kind).alias("entity_kind"), F.col(f"{kind}_id").cast("string").alias("entity_id"), "n_partners", "n_orders", "n_refunds", "node_anomaly", F.lit(True).alias("elevated"), "mo_tag")
-
-    return side("user").unionByName(side("vendor"))
+    ends = F.explode(F.array(*[F.struct(F.lit(k).alias("entity_kind"), F.col(f"{k}_id").cast("string").alias("entity_id")) for k in ("user", "vendor")])).alias("_end")
+    key = [*SLICE, "entity_kind", "entity_id"]
+    up = edges.where("elevated").select(*SLICE, ends, "n_orders", "n_refunds", "edge_anomaly", "mo_tag").select(*SLICE, "_end.*", "n_orders", "n_refunds", "edge_anomaly", "mo_tag")
+    tags = up.groupBy(*key, "mo_tag").agg(F.count("*").alias("_c"), F.sum("n_orders").alias("_n"), F.sum("n_refunds").alias("_r"), F.max("edge_anomaly").alias("_a"))
+    best = F.min(F.struct(-F.col("_c"), F.col("mo_tag").alias("tag")))["tag"].alias("mo_tag")
+    return tags.groupBy(*key).agg(F.sum("_c").alias("n_partners"), F.sum("_n").alias("n_orders"), F.sum("_r").alias("n_refunds"), F.max("_a").alias("node_anomaly"), F.lit(True).alias("elevated"), best)
 
 
 def uv_features(orders: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
