@@ -220,7 +220,7 @@ def entity_keys(scored: DataFrame) -> DataFrame:
     """Eight rows per order: entity_kind, entity_key, head, score of that head and support (of pairs: how often seen together)."""
     one = []
     for kind, ids in KINDS.items():
-        key = F.when(reduce(lambda a, b: a & b, [F.col(i).isNotNull() & (F.col(i).cast("string") != "") for i in ids]), F.concat_ws("|", F.lit(kind), *[F.col(i).cast("string") for i in ids]))
+        key = F.when(reduce(lambda a, b: a & b, [F.col(i).isNotNull() & (F.col(i).cast("string") != "") for i in ids]), F.concat(F.lit(f"{kind}:"), F.concat_ws("|", *[F.col(i).cast("string") for i in ids])))
         head = D.KIND_HEADS[kind]
         support = F.col(f"{kind}_cooccur").cast("double") if f"{kind}_cooccur" in scored.columns else F.lit(1.0)
         one.append(F.struct(F.lit(kind).alias("entity_kind"), key.alias("entity_key"), F.lit(head).alias("score_head"), F.col(f"{head}_score").alias("score"), support.alias("support")))

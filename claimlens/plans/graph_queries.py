@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from claimlens.functions import defaults as D
 from claimlens.functions import signals
 from claimlens.operators import graph
+from claimlens.sources.tables import written
 from claimlens.sources.views import view, with_views
 
 R6 = lambda *names: [F.round(n, 6).alias(n) for n in names]
@@ -115,7 +116,7 @@ GRAPH_COLS = ["uv_edge_anomaly", "uv_edge_lift", "uv_edge_n_orders", "uv_edge_el
 
 
 def features(spark, sf):
-    found = graph.uv_edges(view(spark, sf, "hist"))
+    found = written(graph.uv_edges(view(spark, sf, "hist")))
     return graph.uv_features(view(spark, sf, "ord"), found, graph.uv_nodes(found)).select("order_id", *R6(*GRAPH_COLS))
 
 

@@ -111,7 +111,7 @@ def keys(spark, sf):
 def _keys_sql(source="decided"):
     parts = []
     for kind, ids in scoring.KINDS.items():
-        key = " || '|' || ".join([f"'{kind}'", *[f"CAST({i} AS VARCHAR)" for i in ids]])
+        key = f"'{kind}:' || " + " || '|' || ".join(f"CAST({i} AS VARCHAR)" for i in ids)
         head = D.KIND_HEADS[kind]
         support = f"{kind}_cooccur" if len(kind) < 4 and kind in ("ud", "uv", "vd", "uvd") else "1.0"
         parts.append(f"SELECT order_id, event_ts, market, vertical, status, '{kind}' AS entity_kind, {key} AS entity_key, '{head}' AS score_head, {head}_score AS score, CAST({support} AS DOUBLE) AS support FROM {source}")
