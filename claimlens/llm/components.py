@@ -33,3 +33,14 @@ def components(links: DataFrame) -> DataFrame:
             return labels
         hooked = labels.join(across, (labels["node"] == across["_ca"]), "left")
         labels = saved(hooked.select("node", F.coalesce("_cb", "comp").alias("comp")))
+
+
+def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """comp (node, comp) after further links: only the components that they touch are joined anew."""
+    root = lambda k: comp.select(F.col("node").alias(k), F.col("comp").alias(f"_c{k}"))
+    over = links.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    over = saved(over.select("a", "b", F.coalesce("_ca", "a").alias("_ca"), F.coalesce("_cb", "b").alias("_cb")))
+    up = components(over.select(F.col("_ca").alias("a"), F.col("_cb").alias("b"))).select(F.col("node").alias("_c"), F.col("comp").alias("_top"))
+    ends = over.select(F.col("a").alias("node"), F.col("_ca").alias("comp")).unionByName(over.select(F.col("b").alias("node"), F.col("_cb").alias("comp")))
+    all_of = comp.select("node", "comp").unionByName(ends).distinct()
+    return saved(all_of.join(up, all_of["comp"] == up["_c"], "left").select("node", F.coalesce("_top", "comp").alias("comp")))

@@ -4,11 +4,11 @@ A document's set is its distinct five-word shingles, hashed to 64 bits. Instead
 each of TABLES tables, two collections of SIDE groups are computed, and the table (i, j) takes the i-th group
 of the first with the j-th of the second: SIDE**2 tables for 2 * SIDE groups of minhashes.
 
-Equal sets are one class. Within each bucket of a table a leader is compared exactly with the others, and
-links that hold are joined to components. A bucket whose classes are all in one component is done. In the
-others the leaders leave; so does, by the triangle inequality of the Jaccard distance, a class so near a
-leader that nothing unlinked can be linked with it; and the rest gets new leaders, until no bucket is left
-that could join components. So no bucket's pairs are ever listed, and none are given up.
+Equal sets are one class. In each bucket of a table the smallest class leads: it is compared exactly with the
+others, and links that hold are joined to components. A bucket whose classes are all in one component is done.
+In the others more classes lead, taken from outside the largest component, and meet all classes of other
+components, but those whose distances from the first leader differ by more than a link's (the Jaccard distance
+is a metric), until no bucket is left that could join components. No link in a bucket is given up.
 
 Defined results: null or blank texts have an empty set and stay alone; texts of fewer than five words are one
 shingle; A-Z count as a-z; rows of one doc_id are one document, linked by any of its texts (n_shingles is of
@@ -25,14 +25,15 @@ from pyspark.sql import functions as F
 
 from claimlens.llm import hashing
 from claimlens.llm.common import saved, table
-from claimlens.llm.components import components
+from claimlens.llm.components import components, joined
 
 SHINGLE = 5
-SIDE = 8
-GROUP = 2
+SIDE = 10
+GROUP = 3
 #: Percent of the union that the intersection is at least.
 PERCENT = 85
-LEADERS = 4
+#: Leaders of a bucket in the first turn after its smallest class has been one; twice as many in each further turn.
+LEADERS = 16
 
 _MULTIPLIERS = np.random.default_rng(97).integers(1, 1 << 62, 2 * SIDE * GROUP, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -109,52 +110,47 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sizes = classes.select("cls", "n")
     texts = saved(docs.select(F.col("doc_id").alias("cls"), "text").join(some, "cls"))
 
-    tested = None
-    links = None
-    pairs = buckets.where("cls > _low").select(F.col("_low").alias("a"), F.col("cls").alias("b")).distinct()
-    open_ = buckets.select("key", "cls")
-    apart = 1 - percent / 100
-    turn = 0
-    while True:
-        near = pairs.join(sizes.select(F.col("cls").alias("a"), F.col("n").alias("_na")), "a").join(sizes.select(F.col("cls").alias("b"), F.col("n").alias("_nb")), "b")
-        ratio = F.least("_na", "_nb") / F.greatest("_na", "_nb")
-        near = saved(near.withColumn("_most", ratio).select("a", "b", "_most", (100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")).alias("_can")))
+    def compare(pairs: DataFrame) -> DataFrame:
+        """pairs (a, b) with linked and far; far is null where sizes alone rule a link out."""
+        n = lambda k: sizes.select(F.col("cls").alias(k), F.col("n").alias(f"_n{k}"))
+        can = 100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")
+        near = saved(pairs.join(n("a"), "a").join(n("b"), "b").select("a", "b", can.alias("_can")))
         exact = verified(near.where("_can").select("a", "b"), texts, percent)
-        # sizes too different to link give a lower bound of the distance
-        result = saved(exact.unionByName(near.where(~F.col("_can")).select("a", "b", F.lit(False).alias("linked"), (1 - F.col("_most")).alias("far"))))
-        tested = result if tested is None else saved(tested.unionByName(result))
-        new = result.where("linked").select("a", "b")
-        links = new if links is None else saved(links.unionByName(new))
-        comp = components(links)
-        placed = open_.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", F.coalesce("comp", "cls").alias("comp"))
-        mixed = placed.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x < _y").select("key")
-        left = saved(placed.join(mixed, "key"))
-        if left.isEmpty():
-            break
-        if turn == 0:
-            leaders = buckets.select("key", F.col("_low").alias("_leader")).distinct()
-        leaders = leaders.join(placed.select("key", F.col("cls").alias("_leader"), F.col("comp").alias("_lc")), ["key", "_leader"])
-        # of each bucket: how far its members are from its leaders
-        seen = left.join(leaders, "key").where("cls <> _leader").select("key", "cls", "comp", "_leader", "_lc", F.least("cls", "_leader").alias("a"), F.greatest("cls", "_leader").alias("b"))
-        seen = saved(seen.join(tested, ["a", "b"], "left"))
-        reach = seen.where("comp <> _lc").groupBy("key", "_leader").agg(F.min("far").alias("_next"))
-        done = seen.where("linked").join(reach, ["key", "_leader"], "left").where(F.col("_next").isNull() | (F.col("_next") > apart + F.col("far") + 1e-9))
-        gone = done.select("key", "cls").unionByName(leaders.select("key", F.col("_leader").alias("cls"))).distinct()
-        rest = left.join(gone, ["key", "cls"], "left_anti")
-        still = rest.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x < _y").select("key")
-        rest = saved(rest.join(still, "key"))
-        if rest.isEmpty():
-            break
-        turn += 1
-        # leaders come from the smallest components of a bucket: they meet all the others at once
-        crowd = rest.join(rest.groupBy("key", "comp").agg(F.count("*").alias("_m")), ["key", "comp"])
-        first = lambda k: F.col("_m") + F.pmod(F.xxhash64("cls", F.lit(turn), F.lit(k)), F.lit(1 << 20)) / float(1 << 20)
-        picks = [F.min_by("cls", first(k)).alias(f"_l{k}") for k in range(LEADERS)]
-        leaders = saved(crowd.groupBy("key").agg(*picks).select("key", F.explode(F.array_distinct(F.array(*[f"_l{k}" for k in range(LEADERS)]))).alias("_leader")))
-        ask = rest.join(leaders, "key").join(rest.select("key", F.col("cls").alias("_leader"), F.col("comp").alias("_lc")), ["key", "_leader"]).where("comp <> _lc")
-        ask = ask.select(F.least("cls", "_leader").alias("a"), F.greatest("cls", "_leader").alias("b")).distinct()
-        pairs = saved(ask.join(tested, ["a", "b"], "left_anti"))
-        open_ = rest.select("key", "cls")
+        return saved(exact.unionByName(near.where("not _can").select("a", "b", F.lit(False).alias("linked"), F.lit(None).cast("double").alias("far"))))
+
+    apart = 1 - percent / 100 + 1e-9
+    spans = lambda df: df.join(df.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x < _y").select("key"), "key")
+    tested = compare(buckets.where("cls > _low").select(F.col("_low").alias("a"), F.col("cls").alias("b")).distinct())
+    comp = components(tested.where("linked").select("a", "b"))
+    at = comp.withColumnRenamed("node", "cls")
+    # every class has met the leader of its bucket; d: how far it is from there
+    met = tested.select(F.col("a").alias("_low"), F.col("b").alias("cls"), F.col("far").alias("d"))
+    rest = spans(buckets.where("cls > _low").join(at, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
+    rest = saved(rest.join(met, ["_low", "cls"], "left").join(sizes, "cls").select("key", "cls", "comp", "d", "n"))
+    leaders_wanted = LEADERS
+    while not rest.isEmpty():
+        # leaders come from outside a bucket's largest component: once all of them have met the others, it is done
+        crowds = rest.groupBy("key", "comp").agg(F.count("*").alias("_m"))
+        major = crowds.groupBy("key").agg(F.max_by("comp", "_m").alias("_major"), (F.sum("_m") - F.max("_m")).alias("_out"))
+        outside = rest.join(major, "key").where("comp <> _major")
+        lot = F.xxhash64("cls", "key")
+        luck = F.pmod(lot, F.lit(1 << 30)) * F.lit(1.0 / (1 << 30)) < leaders_wanted / F.col("_out")
+        one = outside.groupBy("key").agg(F.min_by("cls", lot).alias("_one"))
+        leaders = saved(outside.join(one, "key").where(luck | (F.col("cls") == F.col("_one"))).select("key", F.col("cls").alias("_leader"), F.col("comp").alias("_lc"), F.col("d").alias("_ld"), F.col("n").alias("_ln")))
+        ask = rest.join(leaders, "key").where((F.col("comp") != F.col("_lc")) & (100 * F.least("n", "_ln") >= percent * F.greatest("n", "_ln")))
+        # distances obey the triangle inequality
+        ask = ask.where(F.col("d").isNull() | F.col("_ld").isNull() | (F.abs(F.col("d") - F.col("_ld")) <= apart))
+        ask = ask.select(F.least("cls", "_leader").alias("a"), F.greatest("cls", "_leader").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+        result = compare(saved(ask))
+        tested = saved(tested.select("a", "b").unionByName(result.select("a", "b")))
+        rest = rest.join(leaders.select("key", F.col("_leader").alias("cls")), ["key", "cls"], "left_anti")
+        links = result.where("linked").select("a", "b")
+        if not links.isEmpty():
+            comp = joined(comp, links)
+            at = comp.withColumnRenamed("node", "cls")
+            rest = rest.drop("comp").join(at, "cls", "left").select("key", "cls", F.coalesce("comp", "cls").alias("comp"), "d", "n")
+        rest = saved(spans(rest))
+        leaders_wanted *= 2
 
     placed = rows.where("n > 0 and _id is not null").join(classes.select("n", "s1", "s2", "cls"), ["n", "s1", "s2"]).select("_id", "cls")
     placed = placed.distinct()
@@ -162,7 +158,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     several = placed.groupBy("_id").agg(F.min("cls").alias("_x"), F.max("cls").alias("_y")).where("_x < _y").select("_id", "_x")
     more = saved(placed.join(several, "_id").where("cls > _x").select(F.col("cls").alias("a"), F.col("_x").alias("b")))
     if not more.isEmpty():
-        comp = components(links.unionByName(more))
+        comp = joined(comp, more)
     placed = placed.join(comp.withColumnRenamed("node", "cls"), "cls", "left").groupBy("_id").agg(F.min(F.coalesce("comp", "cls")).alias("component_id"))
     out = rows.select("_id", "n").join(placed, "_id", "left")
     return out.select(F.col("_id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "_id").alias("component_id"))
