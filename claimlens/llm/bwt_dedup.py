@@ -22,6 +22,8 @@ bytes, so what is kept is binary and may split a character.
 from __future__ import annotations
 
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -96,14 +98,30 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int) -
     return string, place, shared
 
 
+def may_share(rows: list[tuple], spec: Windows = BYTES) -> list[int]:
+    """Numbers of the contexts that can share a window with another of their seed: a window reaches half of
+    length - seed or more beyond the seed on one side, so two that share one agree there."""
+    half = (spec.length - spec.seed + 1) // 2
+    sides, seen = [], Counter()
+    for r in rows:
+        back, part = r[3] >> 8 & 255, r[4]
+        end = back + spec.seed
+        own = [(r[0], 0, part[back - half : end])] if back >= half else []
+        if end + half <= len(part):
+            own.append((r[0], 1, part[back : end + half]))
+        seen.update(own)
+        sides.append(own)
+    return [i for i, own in enumerate(sides) if any(seen[k] > 1 for k in own)]
+
+
 def resolve(rows: list[tuple], spec: Windows = BYTES) -> list[list[tuple[int, int]]]:
     """For contexts (seed, id, part, place, bytes): which of their windows stand in an earlier one too."""
     out: list[list[tuple[int, int]]] = [[] for _ in rows]
-    if len(rows) < 2:
+    order = sorted(may_share(rows, spec), key=lambda i: rows[i][1:4])  # strings are numbered from the earliest on
+    if len(order) < 2:
         return out
-    order = sorted(range(len(rows)), key=lambda i: rows[i][1:4])  # strings are numbered from the earliest on
-    n_shards = min(SHARDS, len(rows))
-    cuts = np.linspace(0, len(rows), n_shards + 1).astype(int)
+    n_shards = min(SHARDS, len(order))
+    cuts = np.linspace(0, len(order), n_shards + 1).astype(int)
     shards = [transform([rows[i][4] for i in order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     string, place, shared = merge(shards, spec.length)
     block = np.cumsum(shared < spec.length)

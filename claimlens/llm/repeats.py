@@ -267,7 +267,7 @@ def _resolver(resolve_batch):
 
 
 #: Bytes of segments that are compared at once.
-FLUSH = 1 << 17
+FLUSH = 1 << 15
 
 
 def spans_of(windows: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
