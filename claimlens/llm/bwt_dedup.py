@@ -35,6 +35,8 @@ from claimlens.llm.repeats import Windows, covered, spans_of, unzipped
 BYTES = Windows("byte", 100, 24)
 #: Into how many shards a batch of contexts is dealt.
 SHARDS = 8
+#: Contexts are merged if they agree on all but 1 / STEPS of what a window reaches beyond its seed.
+STEPS = 8
 
 
 def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -99,16 +101,19 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int) -
 
 
 def may_share(rows: list[tuple], spec: Windows = BYTES) -> list[int]:
-    """Numbers of the contexts that can share a window with another of their seed: a window reaches half of
-    length - seed or more beyond the seed on one side, so two that share one agree there."""
-    half = (spec.length - spec.seed + 1) // 2
+    """Numbers of the contexts that can share a window with another of their seed. A window reaches some way to the
+    left of the seed and the rest of length - seed to the right; by STEPS ranges of that way, contexts that share
+    one agree on the least way of a range to the left and on what is left over to the right."""
+    reach = spec.length - spec.seed
+    cuts = [reach * j // STEPS for j in range(STEPS + 1)]
     sides, seen = [], Counter()
     for r in rows:
         back, part = r[3] >> 8 & 255, r[4]
-        end = back + spec.seed
-        own = [(r[0], 0, part[back - half : end])] if back >= half else []
-        if end + half <= len(part):
-            own.append((r[0], 1, part[back : end + half]))
+        own = []
+        for j in range(STEPS):
+            left, end = back - cuts[j], back + spec.seed + reach - cuts[j + 1]
+            if left >= 0 and end <= len(part):
+                own.append((r[0], j, part[left:end]))
         seen.update(own)
         sides.append(own)
     return [i for i, own in enumerate(sides) if any(seen[k] > 1 for k in own)]
