@@ -1,8 +1,9 @@
 """MinHash near-dedup with tensored banding.
 
 A document's set is its distinct five-word shingles, hashed to 64 bits. Instead of one group of minhashes for
-each of TABLES tables, two collections of SIDE groups are computed, and the table (i, j) takes the i-th group
-of the first with the j-th of the second: SIDE**2 tables for 2 * SIDE groups of minhashes.
+each table, two collections of groups are computed, and the table (i, j) takes the i-th group of the first
+with the j-th of the second: side**2 tables for 2 * side groups of minhashes. Both numbers follow from the
+similarity asked for: a pair just at it meets in no table with a chance of MISS at most (shape).
 
 Equal sets are one class. In each bucket of a table the smallest class leads: it is compared exactly with the
 others, and links that hold are joined to components. A bucket whose classes are all in one component is done.
@@ -18,6 +19,8 @@ result; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,32 +31,52 @@ from claimlens.llm.common import saved, table
 from claimlens.llm.components import components, joined
 
 SHINGLE = 5
-SIDE = 10
+#: Chance at most that a pair just at the percent asked for meets in no table.
+MISS = 7e-5
+#: Minhashes of a group, and groups of a collection, at most; the latter gives way where single minhashes need more.
 GROUP = 3
+SIDE = 16
 #: Percent of the union that the intersection is at least.
 PERCENT = 85
 #: Leaders of a bucket in the first turn after its smallest class has been one; twice as many in each further turn.
 LEADERS = 16
 
-_MULTIPLIERS = np.random.default_rng(97).integers(1, 1 << 62, 2 * SIDE * GROUP, np.uint64) * np.uint64(2) + np.uint64(1)
+
+def miss(percent: float, side: int, group: int) -> float:
+    """Chance that a pair of this similarity meets in none of the side**2 tables."""
+    none = (1 - (percent / 100) ** group) ** side
+    return none * (2 - none)
+
+
+def shape(percent: float) -> tuple[int, int]:
+    """side and group: the largest groups, and the fewest of them, that keep to MISS."""
+    none = 1 - math.sqrt(1 - MISS)  # of one collection
+    for group in range(GROUP, 0, -1):
+        s = (percent / 100) ** group
+        side = 1 if s >= 1 else math.ceil(math.log(none) / math.log1p(-s))
+        if side <= SIDE or group == 1:
+            break
+    return side, group
 
 
-def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """_id, n (distinct shingles), two sums that name the set, and the two collections of minhash groups."""
+    side, group = shape(percent)
+    multipliers = np.random.default_rng(97).integers(1, 1 << 62, 2 * side * group, np.uint64) * np.uint64(2) + np.uint64(1)
 
     def work(batches):
         for batch in batches:
             n_rows = batch.num_rows
             count, sums = np.zeros(n_rows, np.int64), np.zeros((2, n_rows), np.uint64)
-            groups = np.zeros((2 * SIDE, n_rows), np.uint64)
+            groups = np.zeros((2 * side, n_rows), np.uint64)
             for w in hashing.words(batch.column(1).to_pylist(), fold=True):
                 own, h = hashing.shingles(w, size)
                 if not len(h):
                     continue
                 texts, begin = np.unique(own, return_index=True)
                 at = texts + w.first
-                for k in range(2 * SIDE):
-                    for m in _MULTIPLIERS[k * GROUP : (k + 1) * GROUP]:
+                for k in range(2 * side):
+                    for m in multipliers[k * group : (k + 1) * group]:
                         least = np.minimum.reduceat(h * m, begin)
                         groups[k, at] = hashing.mixed(groups[k, at] ^ least)
                 ends = [*begin[1:].tolist(), len(h)]
@@ -61,9 +84,9 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                     one = np.unique(h[b:e])
                     count[t], sums[0, t], sums[1, t] = len(one), one.sum(), hashing.mixed(one ^ np.uint64(0x5BD1E995)).sum()
             cols = [pa.array(count), *(pa.array(s.view(np.int64)) for s in sums)]
-            for half in (groups[:SIDE], groups[SIDE:]):
+            for half in (groups[:side], groups[side:]):
                 flat = pa.array(np.ascontiguousarray(half.T).reshape(-1).view(np.int64))
-                cols.append(pa.ListArray.from_arrays(pa.array(np.arange(n_rows + 1, dtype=np.int32) * SIDE), flat))
+                cols.append(pa.ListArray.from_arrays(pa.array(np.arange(n_rows + 1, dtype=np.int32) * side), flat))
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["_id", "n", "s1", "s2", "first", "second"])
 
     return docs.select(F.col("doc_id").cast("long").alias("_id"), "text").mapInArrow(work, "_id bigint, n bigint, s1 bigint, s2 bigint, first array<bigint>, second array<bigint>")
@@ -99,7 +122,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs (columns doc_id, text)."""
-    rows = saved(signatures(docs))
+    rows = saved(signatures(docs, percent))
     named = rows.where("n > 0 and _id is not null").groupBy("n", "s1", "s2").agg(F.min("_id").alias("cls"), F.first("first").alias("first"), F.first("second").alias("second"))
     classes = saved(named)
     keys = F.flatten(F.transform("first", lambda p, i: F.transform("second", lambda q, j: F.xxhash64(p, q, i, j))))

@@ -137,6 +137,24 @@ def test_near_groups(docs, empty):
     assert minhash.near_groups(empty.select("doc_id", "text")).count() == 0
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_tables_follow_the_percent(percent):
+    side, group = minhash.shape(percent)
+    assert minhash.miss(percent, side, group) <= minhash.MISS <= 1 - (1 - (1 - 0.85**2) ** 8) ** 2
+    assert minhash.miss(percent, side - 1, group) > minhash.MISS
+
+
+def test_pairs_at_the_pipelines_percent_are_linked(spark):
+    """6,000 pairs that share eight of ten shingles: with 10 x 10 tables of six about nine stay apart, with MISS one at most."""
+    rows = []
+    for i in range(6000):
+        words = [f"w{i}x{k}" for k in range(13)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:-1], "other"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    apart = minhash.near_groups(docs, 80).where("component_id <> doc_id - doc_id % 2").count()
+    assert apart <= 3
+
+
 def test_components(spark):
     from claimlens.llm.components import components, joined
 
