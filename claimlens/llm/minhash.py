@@ -5,11 +5,15 @@ each table, two collections of groups are computed, and the table (i, j) takes t
 with the j-th of the second: side**2 tables for 2 * side groups of minhashes. Both numbers follow from the
 similarity asked for: a pair just at it meets in no table with a chance of MISS at most (shape).
 
-Equal sets are one class. In each bucket of a table the smallest class leads: it is compared exactly with the
-others, and links that hold are joined to components. A bucket whose classes are all in one component is done.
-In the others more classes lead, taken from outside the largest component, and meet all classes of other
-components, but those whose distances from the first leader differ by more than a link's (the Jaccard distance
-is a metric), until no bucket is left that could join components. No link in a bucket is given up.
+Equal sets are one class. In each bucket of a table the smallest class leads and is compared exactly with the
+others; links that hold are joined to components. What a leader leaves apart is searched through differences:
+x and y link only if their symmetric difference is small, |x ^ y| <= c * (|x| + |y|) with c = (100 - p) / (100 + p).
+Let dx = x ^ leader. As |x ^ y| = |dx| + |dy| - 2 * |dx & dy|, and as one of the two at least isn't linked with the
+leader, dx and dy share about half of their elements or more, and then, in any fixed order of elements, a part of
+their prefixes (needs()). So the classes of a leader meet on prefix elements of their differences, ordered by how few
+classes have them. Pairs that positions and sizes leave possible are compared
+exactly. No link in a bucket is given up, and near copies of one text that don't link with
+each other (each with its own changes) share no prefix element, so they cost no comparison of pairs.
 
 Defined results: null or blank texts have an empty set and stay alone; texts of fewer than five words are one
 shingle; A-Z count as a-z; rows of one doc_id are one document, linked by any of its texts (n_shingles is of
@@ -23,7 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.llm import hashing
@@ -34,12 +38,14 @@ SHINGLE = 5
 #: Chance at most that a pair just at the percent asked for meets in no table.
 MISS = 7e-5
 #: Minhashes of a group, and groups of a collection, at most; the latter gives way where single minhashes need more.
-GROUP = 3
+GROUP = 2
 SIDE = 16
 #: Percent of the union that the intersection is at least.
 PERCENT = 85
-#: Leaders of a bucket in the first turn after its smallest class has been one; twice as many in each further turn.
-LEADERS = 16
+#: Classes that share an element are matched in blocks of about so many.
+CROWD = 1024
+#: Into how many parts the classes of one bucket are dealt when they get their leader.
+SALTS = 8
 
 
 def miss(percent: float, side: int, group: int) -> float:
@@ -92,10 +98,23 @@ def signatures(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     return docs.select(F.col("doc_id").cast("long").alias("_id"), "text").mapInArrow(work, "_id bigint, n bigint, s1 bigint, s2 bigint, first array<bigint>, second array<bigint>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """pairs (a, b) with their exact similarity: linked, and the Jaccard distance."""
+def needs(d: int, n: int, led: int, linked: bool, c: float) -> tuple[int, int]:
+    """How many elements of the difference d of a class of n shingles from its leader (of led shingles) stand in the
+    prefix that meets classes not linked with the leader, and in the one that meets linked ones (0: can't link).
+
+    Shared elements at least: (dx + dy - c * (nx + ny)) / 2. A y that isn't linked has dy - c * ny > c * led,
+    any other at least -c * led, as dy >= |ny - led|."""
+    far, near = (max(1, math.ceil((d - c * n + side * c * led) / 2 - 1e-9)) for side in (1, -1))
+    return max(0, d - far + 1), 0 if linked else max(0, d - near + 1)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, led: bool = False) -> DataFrame:
+    """pairs (a, b) compared exactly on their full sets: linked; and, if a leads, the size n of b's set, its difference
+    from a's (elements, d of them) and both prefix lengths (short, long)."""
     x, y = (texts.select(F.col("cls").alias(k), F.col("text").alias(f"_t{k}")) for k in "ab")
-    both = pairs.join(x, "a").join(y, "b").select("a", "b", "_ta", "_tb")
+    # the same plan at every size: pairs are shuffled to the texts
+    both = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").select("a", "b", "_ta", "_tb")
+    c = (100 - percent) / (100 + percent)
 
     def sets(column) -> list[np.ndarray]:
         out: list[np.ndarray] = []
@@ -109,15 +128,65 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                linked, far = [], []
+                rows = []
                 for p, q in zip(sets(batch.column(2)), sets(batch.column(3)), strict=True):
-                    shared = len(np.intersect1d(p, q, assume_unique=True))
-                    union = len(p) + len(q) - shared
-                    linked.append(union > 0 and 100 * shared >= percent * union)
-                    far.append(1.0 - shared / max(1, union))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(far, pa.float64())], names=["a", "b", "linked", "far"])
-
-    return both.mapInArrow(work, "a bigint, b bigint, linked boolean, far double")
+                    lost = np.isin(p, q, assume_unique=True, invert=True)
+                    shared = len(p) - int(lost.sum())
+                    linked = shared > 0 and 100 * shared >= percent * (len(p) + len(q) - shared)
+                    d = len(p) + len(q) - 2 * shared
+                    short, long, elements = 0, 0, []
+                    if led:
+                        short, long = needs(d, len(q), len(p), linked, c)
+                        elements = np.concatenate([q[np.isin(q, p, assume_unique=True, invert=True)], p[lost]]).view(np.int64)
+                    version = int((p.sum() ^ q.sum()).view(np.int64)) if len(p) and len(q) else 0  # a doc_id may have several texts
+                    rows.append((linked, version, len(q), d, short, long, elements))
+                cols = [pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.bool_(), *[pa.int64()] * 5, pa.list_(pa.int64())))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["a", "b", "linked", "version", "n", "d", "short", "long", "elements"])
+
+    return both.mapInArrow(work, "a bigint, b bigint, linked boolean, version bigint, n bigint, d bigint, short bigint, long bigint, elements array<bigint>")
+
+
+def bucketed(classes: DataFrame) -> DataFrame:
+    """grp and cls of all classes that share a bucket with another, and its leader, the smallest."""
+    keys = F.flatten(F.transform("first", lambda p, i: F.transform("second", lambda q, j: F.xxhash64(p, q, i, j))))
+    entries = classes.select("cls", F.explode(keys).alias("grp"))
+    full = entries.groupBy("grp").agg(F.min("cls").alias("lead"), F.max("cls").alias("_high")).where("lead < _high")
+    full = full.select("grp", "lead", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    dealt = entries.withColumn("_salt", F.pmod(F.xxhash64("cls", F.lit(29)), F.lit(SALTS)).cast("int"))
+    return dealt.join(full, ["grp", "_salt"]).select("grp", "cls", "lead")
+
+
+def apart(members: DataFrame) -> DataFrame:
+    """Members of groups in which a pair could still join two components, with the number of members."""
+    open_ = members.groupBy("grp").agg(F.count("*").alias("crowd"), F.min("comp").alias("_x"), F.max("comp").alias("_y"), F.min("home").alias("_v"), F.max("home").alias("_w"), F.max(F.col("home") == F.col("a")).alias("_h"))
+    return members.join(open_.where("_x < _y and (_h or _v < _w)").select("grp", "crowd"), "grp")
+
+
+def shared_elements(members: DataFrame) -> DataFrame:
+    """A row for each prefix element of a member's difference that another member has, with its place i. Elements that
+    few have come first; what nobody shares gives no row, but has its place."""
+    each = members.select("a", "b", "home", "comp", "linked", "version", "n", "d", "short", F.greatest("short", "long").alias("_upto"), F.explode("elements").alias("_e"))
+    each = saved(each.withColumn("grp", F.xxhash64("a", "_e")).drop("_e"))
+    often = each.groupBy("grp").agg(F.count("*").alias("_f"))
+    place = F.row_number().over(Window.partitionBy("a", "b", "version").orderBy("_f", "grp")) - 1
+    return each.join(often, "grp").withColumn("i", place).where("_f > 1 and i < _upto").drop("_f", "_upto", "version")
+
+
+def possible(meet: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes that share a prefix element of their differences and can link by positions and sizes."""
+    c = (100 - percent) / (100 + percent)
+    # a crowded group is dealt into blocks, which meet each other in cells
+    blocks = F.ceil(F.col("crowd") / CROWD).cast("int")
+    own, other = F.pmod(F.xxhash64("b", F.lit(31)), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
+    cols = ["grp", "a", "b", "home", "comp", "linked", "n", "d", "short", "i"]
+    one = meet.select(*[F.col(k).alias(f"{k}_x") for k in cols], own.alias("_p"), other.alias("_q"))
+    two = meet.select(*[F.col(k).alias(f"{k}_y") for k in cols], own.alias("_r"), other.alias("_s"))
+    cell = (F.col("grp_x") == F.col("grp_y")) & (F.col("_p") == F.col("_s")) & (F.col("_q") == F.col("_r"))
+    new = (F.col("b_x") < F.col("b_y")) & (F.col("comp_x") != F.col("comp_y")) & ((F.col("home_x") != F.col("home_y")) | (F.col("home_x") == F.col("a_x")))
+    reach = (F.col("linked_x") != F.col("linked_y")) | (~F.col("linked_x") & (F.col("i_x") < F.col("short_x")) & (F.col("i_y") < F.col("short_y")))
+    # elements left from here on, against those that are to be shared at least
+    enough = 2 * F.least(F.col("d_x") - F.col("i_x"), F.col("d_y") - F.col("i_y")) >= F.col("d_x") + F.col("d_y") - c * (F.col("n_x") + F.col("n_y")) - 1e-9
+    return one.join(two, cell & new & reach & enough).select(F.col("b_x").alias("a"), F.col("b_y").alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -125,55 +194,25 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = saved(signatures(docs, percent))
     named = rows.where("n > 0 and _id is not null").groupBy("n", "s1", "s2").agg(F.min("_id").alias("cls"), F.first("first").alias("first"), F.first("second").alias("second"))
     classes = saved(named)
-    keys = F.flatten(F.transform("first", lambda p, i: F.transform("second", lambda q, j: F.xxhash64(p, q, i, j))))
-    entries = classes.select("cls", F.explode(keys).alias("key"))
-    full = entries.groupBy("key").agg(F.min("cls").alias("_low"), F.max("cls").alias("_high")).where("_low < _high")
-    buckets = saved(entries.join(full, "key").select("key", "cls", "_low"))
-    some = saved(buckets.select("cls").distinct())
-    sizes = classes.select("cls", "n")
-    texts = saved(docs.select(F.col("doc_id").alias("cls"), "text").join(some, "cls"))
-
-    def compare(pairs: DataFrame) -> DataFrame:
-        """pairs (a, b) with linked and far; far is null where sizes alone rule a link out."""
-        n = lambda k: sizes.select(F.col("cls").alias(k), F.col("n").alias(f"_n{k}"))
-        can = 100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")
-        near = saved(pairs.join(n("a"), "a").join(n("b"), "b").select("a", "b", can.alias("_can")))
-        exact = verified(near.where("_can").select("a", "b"), texts, percent)
-        return saved(exact.unionByName(near.where("not _can").select("a", "b", F.lit(False).alias("linked"), F.lit(None).cast("double").alias("far"))))
-
-    apart = 1 - percent / 100 + 1e-9
-    spans = lambda df: df.join(df.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x < _y").select("key"), "key")
-    tested = compare(buckets.where("cls > _low").select(F.col("_low").alias("a"), F.col("cls").alias("b")).distinct())
-    comp = components(tested.where("linked").select("a", "b"))
-    at = comp.withColumnRenamed("node", "cls")
-    # every class has met the leader of its bucket; d: how far it is from there
-    met = tested.select(F.col("a").alias("_low"), F.col("b").alias("cls"), F.col("far").alias("d"))
-    rest = spans(buckets.where("cls > _low").join(at, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
-    rest = saved(rest.join(met, ["_low", "cls"], "left").join(sizes, "cls").select("key", "cls", "comp", "d", "n"))
-    leaders_wanted = LEADERS
-    while not rest.isEmpty():
-        # leaders come from outside a bucket's largest component: once all of them have met the others, it is done
-        crowds = rest.groupBy("key", "comp").agg(F.count("*").alias("_m"))
-        major = crowds.groupBy("key").agg(F.max_by("comp", "_m").alias("_major"), (F.sum("_m") - F.max("_m")).alias("_out"))
-        outside = rest.join(major, "key").where("comp <> _major")
-        lot = F.xxhash64("cls", "key")
-        luck = F.pmod(lot, F.lit(1 << 30)) * F.lit(1.0 / (1 << 30)) < leaders_wanted / F.col("_out")
-        one = outside.groupBy("key").agg(F.min_by("cls", lot).alias("_one"))
-        leaders = saved(outside.join(one, "key").where(luck | (F.col("cls") == F.col("_one"))).select("key", F.col("cls").alias("_leader"), F.col("comp").alias("_lc"), F.col("d").alias("_ld"), F.col("n").alias("_ln")))
-        ask = rest.join(leaders, "key").where((F.col("comp") != F.col("_lc")) & (100 * F.least("n", "_ln") >= percent * F.greatest("n", "_ln")))
-        # distances obey the triangle inequality
-        ask = ask.where(F.col("d").isNull() | F.col("_ld").isNull() | (F.abs(F.col("d") - F.col("_ld")) <= apart))
-        ask = ask.select(F.least("cls", "_leader").alias("a"), F.greatest("cls", "_leader").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        result = compare(saved(ask))
-        tested = saved(tested.select("a", "b").unionByName(result.select("a", "b")))
-        rest = rest.join(leaders.select("key", F.col("_leader").alias("cls")), ["key", "cls"], "left_anti")
-        links = result.where("linked").select("a", "b")
-        if not links.isEmpty():
-            comp = joined(comp, links)
-            at = comp.withColumnRenamed("node", "cls")
-            rest = rest.drop("comp").join(at, "cls", "left").select("key", "cls", F.coalesce("comp", "cls").alias("comp"), "d", "n")
-        rest = saved(spans(rest))
-        leaders_wanted *= 2
+    # (leader, class) for each bucket; equal for many buckets
+    led = saved(bucketed(classes).where("cls > lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct())
+    some = led.select(F.col("a").alias("cls")).union(led.select("b")).distinct()
+    texts = docs.select(F.col("doc_id").alias("cls"), "text").join(some.hint("merge"), "cls")
+    if not classes.groupBy("cls").count().where("count > 1").isEmpty() or not docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty():
+        texts = texts.distinct()  # rows that repeat would multiply pairs
+    texts = saved(texts)
+
+    # a pair is searched under one leader: that with the most classes, if it is the same for both
+    most = led.groupBy("a").agg(F.count("*").alias("_m"))
+    home = led.join(most, "a").groupBy("b").agg(F.min_by("a", F.struct(-F.col("_m"), "a")).alias("home"))
+    compared = saved(verified(led, texts, percent, led=True))
+    comp = components(compared.where("linked").select("a", "b"))
+    at = comp.select(F.col("node").alias("b"), "comp")
+    members = compared.join(home, "b").join(at, "b", "left").withColumn("comp", F.coalesce("comp", "b")).withColumn("grp", F.xxhash64("a"))
+    meet = saved(shared_elements(apart(members)))
+    pairs = possible(apart(meet), percent).join(led, ["a", "b"], "left_anti")
+    found = saved(verified(pairs, texts, percent).select("a", "b", "linked"))
+    comp = joined(comp, found.where("linked").select("a", "b"))
 
     placed = rows.where("n > 0 and _id is not null").join(classes.select("n", "s1", "s2", "cls"), ["n", "s1", "s2"]).select("_id", "cls")
     placed = placed.distinct()
