@@ -21,6 +21,8 @@ from claimlens.llm.common import bucket_of, running, saved, spread, table, word_
 
 #: Words left to the dynamic program, at least, if the budget has as many.
 EXACT_TAIL = 4096
+#: The dynamic program's budget at most; what choose() leaves to it is below, or no document fits.
+BUDGET = 2 * EXACT_TAIL
 
 
 def fill(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -55,20 +57,31 @@ def fill(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
 
 
 def choose(lengths: np.ndarray, counts: np.ndarray, target: float, seed: int = 0) -> tuple[int, np.ndarray]:
-    """Whole copies of every document, and how many documents of each length get one copy more."""
-    total = int((lengths * counts).sum())
+    """Whole copies of every document, and how many documents of each length get one copy more.
+
+    Sums and products are of Python integers, as counts of a large corpus times its words don't fit 64 bits. What the
+    proportional part leaves is less than the sum of the distinct lengths; one document more of some lengths, and then
+    of ever shorter ones, leaves at most EXACT_TAIL words to the dynamic program, or else only documents too long for it."""
+    sizes, left = [int(x) for x in lengths], [int(c) for c in counts]
+    total = sum(n * c for n, c in zip(sizes, left, strict=True))
     more = np.zeros(len(lengths), np.int64)
     if not total:
         return 0, more
     copies, rest = divmod(round(target), total)
-    more = counts * rest // total
-    rest -= int((more * lengths).sum())
+    more[:] = [c * rest // total for c in left]
+    rest -= sum(n * int(m) for n, m in zip(sizes, more, strict=True))
     order = np.random.default_rng(seed).permutation(len(lengths))
-    order = order[counts[order] > more[order]]
-    n = int(np.searchsorted(np.cumsum(lengths[order]), rest - EXACT_TAIL, side="right"))
-    more[order[:n]] += 1
-    rest -= int(lengths[order[:n]].sum())
-    return copies, more + fill(lengths, counts - more, rest)
+    free = [int(k) for k in order if sizes[k] and counts[k] > more[k]]
+    for k in [*free, *sorted(free, key=lambda k: -sizes[k])]:
+        if counts[k] > more[k] and sizes[k] <= rest - EXACT_TAIL:
+            more[k] += 1
+            rest -= sizes[k]
+    fits = np.flatnonzero((lengths > 0) & (counts > more) & (lengths <= rest))
+    if rest > 2 * EXACT_TAIL and len(fits):  # all that is left is longer than rest - EXACT_TAIL
+        k = fits[np.argmax(lengths[fits])]
+        more[k] += 1
+        rest -= sizes[k]
+    return copies, more + fill(lengths, counts - more, min(rest, BUDGET))
 
 
 def targets(sizes: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
