@@ -137,6 +137,32 @@ def test_near_groups(docs, empty):
     assert minhash.near_groups(empty.select("doc_id", "text")).count() == 0
 
 
+@pytest.mark.parametrize("crowd", [7, 1024])
+def test_near_copies_with_changes_of_their_own(spark, monkeypatch, crowd):
+    """One text in 250 versions, of which some link, some only through others and most not at all; several texts of one
+    doc_id, and repeated rows. A small CROWD deals groups into blocks."""
+    monkeypatch.setattr(minhash, "CROWD", crowd)
+    r = random.Random(8)
+    base, rows = [f"w{i}" for i in range(70)], []
+    for i in range(250):
+        w = list(base)
+        for _ in range(r.choice([1, 1, 2, 3, 4, 5])):
+            k = r.randrange(len(w))
+            w[k : k + r.randint(0, 2)] = [r.choice(["x", "y", f"z{i}"])]
+        rows.append((i, " ".join(w)))
+    want = brute_groups(rows, 85)
+    assert len({c for _, c in want.values()}) > 60 and len({c for _, c in want.values()}) < 240
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == want
+    twice = [*rows, *rows[:20], (3, rows[200][1]), (7, rows[100][1])]
+    more = {x.doc_id: x.component_id for x in minhash.near_groups(spark.createDataFrame(twice, "doc_id long, text string").repartition(4)).collect()}
+    top = {}
+    for a, b in ((want[3][1], want[200][1]), (want[7][1], want[100][1])):
+        a, b = top.get(a, a), top.get(b, b)
+        top = {c: min(a, b) if top.get(c, c) in (a, b) else top.get(c, c) for c in {x for _, x in want.values()}}
+    assert more == {d: top[c] for d, (_, c) in want.items()}
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_tables_follow_the_percent(percent):
     side, group = minhash.shape(percent)
@@ -192,6 +218,36 @@ def test_knapsack_is_best():
         assert (used <= counts).all() and (used * lengths).sum() == max(s for s in sums if s <= budget)
 
 
+def test_mixing_of_a_large_corpus():
+    """10**9 documents of each of two lengths, and lengths that leave only documents longer than the exact tail."""
+    for lengths, counts, target in (([100, 7001], [10**9, 10**9], 5.1e12), ([50_000, 50_021], [10**9, 3], 2.5e13 + 60_000), ([10**7], [5], 2.9e7), ([3, 10**6], [2, 9], 4_500_005.0)):
+        lengths, counts = np.array(lengths), np.array(counts)
+        copies, more = mixing.choose(lengths, counts, target)
+        assert (more >= 0).all() and (more <= counts).all() and copies in (0, 1, 2)
+        taken = sum(int(n) * (copies * int(c) + int(m)) for n, c, m in zip(lengths, counts, more))
+        assert 0 <= target - taken < max(lengths)
+
+
+def test_targets_and_sizes_against_sql(spark, docs):
+    """Water filling by bisection, and sizes by DuckDB."""
+    import duckdb
+
+    got = sorted({(r.source, r._mix.source_size, round(r._mix.target, 6)) for r in mixing.decided(docs, mixing.mixture(docs.select("doc_id", "source", "text"))).select("source", "_mix").collect()}, key=str)
+    rows = [(d, t, s) for d, t, _, s, *_ in corpus()]
+    import pandas as pd
+
+    frame = pd.DataFrame(rows, columns=["doc_id", "text", "source"])
+    sizes = duckdb.sql(r"SELECT source, CAST(sum(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)) AS BIGINT) AS n FROM frame GROUP BY source ORDER BY source NULLS LAST").fetchall()
+    weights = [(3, 1, 2)[i % 3] for i in range(len(sizes))]
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(2 * n, level * w) for (_, n), w in zip(sizes, weights)) < 1.5 * sum(n for _, n in sizes) else (low, level)
+    assert len(got) == len(sizes)
+    for g, (s, n), w in zip(sorted(got, key=lambda g: (g[0] is None, g[0] or "")), sizes, weights):
+        assert g[:2] == (s, n) and abs(g[2] - min(2 * n, high * w)) < 1e-3
+
+
 def test_decontamination_against_brute_force(spark):
     r = random.Random(5)
     words = [f"w{i}" for i in range(300)]
@@ -284,20 +340,67 @@ def test_quality_learns_and_handles_edges(spark, empty):
     assert none == {"prior": 1.0} and quality.train(empty, labels)["prior"] == 0.5
 
 
-def test_interpolation_base_is_exact_and_model_helps(docs, empty):
+def brute_interpolation(rows, folds=10, rounds=interpolation.ROUNDS):
+    """Base and model scores by plain counting: EM on one training fold, each document against the corpus without itself."""
     import collections
     import math
 
+    toks = [(d, zlib.crc32(str(d).encode()) % folds, (t or "").encode().lower().split() + [None]) for d, t, *_ in rows]
+    pairs_of = lambda ws: list(zip([None, *ws[:-1]], ws))
+    word, pair = collections.Counter(), collections.Counter()
+    for _, f, ws in toks:
+        if f:
+            word.update(ws)
+            pair.update(pairs_of(ws))
+    n, v = sum(word.values()), len(word)
+    at = lambda c: min(0 if c < 1 else int(math.log2(c)) + 1, interpolation.BUCKETS - 1)
+    parts = lambda a, b, w, p, n: (at(w[a]), p[a, b] / max(w[a], 1), w[b] / max(n, 1), (w[b] + 0.1) / (n + 0.1 * (v + 1)))
+    cells = collections.defaultdict(list)
+    for _, f, ws in toks:
+        if f == interpolation.EM_FOLD:
+            w, p = word.copy(), pair.copy()
+            w.subtract(ws)
+            p.subtract(pairs_of(ws))
+            for a, b in pairs_of(ws):
+                k, *probabilities = parts(a, b, w, p, n - len(ws))
+                cells[k].append(probabilities)
+    weights = {}
+    for k, ps in cells.items():
+        x, ps = np.full(3, 1 / 3), np.array(ps)
+        for _ in range(rounds):
+            share = ps * x
+            x = (share / share.sum(1)[:, None]).sum(0) / len(ps)
+        weights[k] = (x + 1e-6) / (1 + 3e-6)
+    out = {}
+    for d, f, ws in toks:
+        own = [parts(a, b, word, pair, n) for a, b in pairs_of(ws)]
+        out[d] = (f == 0, len(ws), sum(w in word for w in ws), n, sum(math.log10(x[3]) for x in own), sum(math.log10(float(np.dot(weights.get(x[0], np.full(3, 1 / 3)), x[1:]))) for x in own))
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_interpolation_against_brute_force(docs, empty, monkeypatch, small):
+    if small:  # many blocks and shards, three hops
+        monkeypatch.setattr(interpolation, "FAN", 2)
+        monkeypatch.setattr(interpolation, "BLOCK_BYTES", (4000, 4000))
+        monkeypatch.setattr(interpolation, "SHARD_BYTES", (5000, 5000))
     rows = corpus()
-    toks = {d: (t or "").encode().lower().split() + [None] for d, t, *_ in rows}
-    count = collections.Counter(w for d, ws in toks.items() if zlib.crc32(str(d).encode()) % 10 for w in ws)
-    n, v = sum(count.values()), len(count)
-    got = {r.doc_id: r for r in interpolation.model_scores(docs).collect()}
-    for d, ws in toks.items():
-        assert got[d].base_score == pytest.approx(sum(math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws))
-        assert (got[d].n_tokens, got[d].n_known, got[d].train_tokens) == (len(ws), sum(w in count for w in ws), n)
-    assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
-    assert interpolation.model_scores(empty).count() == 0
+    want, got = brute_interpolation(rows), interpolation.model_scores(docs).collect()
+    assert len(got) == len(want)
+    for r in got:
+        held, n, known, train, base, score = want[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held, n, known, train)
+        assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score, rel=2e-3)  # cells of EM are summed on a grid
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
+    if not small:
+        assert interpolation.model_scores(empty).count() == 0
+
+
+def test_held_out_texts_teach_nothing(spark, docs):
+    out = lambda d: zlib.crc32(str(d).encode()) % 10 == 0
+    other = spark.createDataFrame([(r[0], "quite other words " * 9 if out(r[0]) else r[1]) for r in corpus()], "doc_id long, text string")
+    a, b = ({r.doc_id: r.score for r in interpolation.model_scores(x).collect() if not out(r.doc_id)} for x in (docs, other))
+    assert a == pytest.approx(b, rel=1e-12)
 
 
 def test_hilbert_curve_is_continuous(spark):
