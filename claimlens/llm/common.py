@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,10 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where it is unset."""
+    """The cluster's shared folder (spark.checkpoint.dir). Only a local session, as in tests, gets a temporary one where
+    that is unset: on a cluster each executor would write to its own disk."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is unset: executors need a shared folder")
     if not _own_dir:
         _own_dir.append(f"file://{tempfile.mkdtemp(prefix='spark-')}")
     return _own_dir[0]

@@ -144,21 +144,23 @@ def _hash(seed: int):
 
 def decided(docs: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
     """docs with size, source_size, target and n_copies (0, 1, 2, ...) in a struct `mix`."""
-    rows = docs.withColumns({"_size": word_count(F.col("text")), "_u": _hash(seed)})
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # no column of docs can clash
+    rows = docs.select("source", word_count(F.col("text")).alias("_size"), _hash(seed).alias("_u"), whole.alias("_row"))
     plan = plan.select(*[F.col(c).alias(f"_p_{c}") for c in plan.columns])
     out = rows.join(plan, rows["source"].eqNullSafe(plan["_p_source"]) & (rows["_size"] == plan["_p_size"]), "left")
     more = F.coalesce((F.col("_u") <= F.col("_p_cut")).cast("long"), F.lit(0))
     n = F.when(F.col("_size") > 0, F.col("_p_copies") + more).otherwise(F.lit(0))
     mix = F.struct(F.col("_size").alias("size"), F.col("_p_source_size").alias("source_size"), F.col("_p_target").alias("target"), n.cast("long").alias("n_copies"))
-    return out.select(*[docs[c] for c in docs.columns], mix.alias("_mix"))
+    return out.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c != "_mix"], mix.alias("_mix"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: each row as often as the mix takes it."""
     seed = options.get("seed", 7)
-    out = decided(docs, mixture(docs, **options), seed)
-    out = out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_mix.n_copies").cast("int"))))
-    return out.select(*docs.columns)
+    own = docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = decided(own, mixture(docs, **options), seed)
+    out = out.select("row", F.explode(F.array_repeat(F.lit(0), F.col("_mix.n_copies").cast("int"))))
+    return out.select("row.*")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
