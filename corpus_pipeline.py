@@ -23,46 +23,62 @@ N_SHARDS = 24
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs but those whose doc_id is in ids (a column _gone)."""
-    return docs.join(ids, docs["doc_id"] == ids["_gone"], "left_anti")
+    """docs but those whose doc_id is in ids (a column doc_id)."""
+    gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """The columns that stages work on, and each row whole in a struct, so no column of documents can clash with theirs."""
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return own.select("row.doc_id", "row.text", "row.source", "row.lang", "row")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is the classifier's threshold at least. Null and empty texts are scored like any
+    (by the bias alone); repeated rows are judged alike; an empty table stays empty."""
     model = quality.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    rated = quality.scored(docs, model)
-    return rated.where(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    rated = quality.scored(packed(docs), model)
+    return rated.where(F.col("_score") >= quality.THRESHOLD).select("row.*")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document of the smallest doc_id. Of rows that repeat a doc_id the one with the
+    least hash of text, then of all columns, stays; null and blank texts and rows without doc_id are in no group."""
     groups = minhash.near_groups(docs.select("doc_id", "text"), NEAR_PERCENT)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = without(docs, gone)
+    kept = without(docs, groups.where("doc_id <> component_id").select("doc_id"))
     if docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty():
         return kept
-    # of rows that repeat a doc_id the one with the least text hash stays
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit("")))))
-    return kept.withColumn("_nth", first).where("_nth = 1 or doc_id is null").select(*docs.columns)
+    rows = packed(kept).withColumn("_all", F.struct(F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), F.xxhash64("row").alias("r")))
+    first = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min_by("row", "_all").alias("row"))
+    return first.select("row.*").unionByName(kept.where("doc_id is null"))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found. Null and empty texts hold none; rows without doc_id stay."""
     found = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return without(docs, found.select(F.col("doc_id").alias("_gone")).distinct())
+    return without(docs, found.select("doc_id"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    """Each row as often as the mix takes it (0, 1, 2, ...). Texts without words are never taken; null is a source of
+    its own; rows alike in doc_id and text share one decision."""
+    out = mixing.mix(packed(docs))
+    return out.select("row.*")
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    key = F.xxhash64(F.coalesce("text", F.lit("")), "source", "lang")
-    placed = sharding.shards(docs.withColumn("_key", key), N_SHARDS, "rows", ["doc_id", "_key"])
+    """Every row with its shard, slot, size, text_crc32 and place on the curve. Rows alike in all columns are
+    interchangeable; of rows that share doc_id, text, source and lang the places go in the order of a hash of all columns."""
+    rows = packed(docs).withColumns({"_key": F.xxhash64(F.coalesce("text", F.lit("")), "source", "lang"), "_all": F.xxhash64("row")})
+    placed = sharding.shards(rows, N_SHARDS, "rows", ["doc_id", "_key"])
     added = ["shard", "slot", "size", "text_crc32", "hilbert"]
-    # copies of a row are alike: each takes one of the places of its kind
-    places = placed.groupBy(F.col("row.doc_id").alias("_pid"), F.col("row._key").alias("_pkey")).agg(F.sort_array(F.collect_list(F.struct(*added))).alias("_places"))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_key").orderBy(F.lit(1)))
-    rows = docs.withColumn("_key", key).withColumn("_nth", nth)
-    out = rows.join(places, rows["doc_id"].eqNullSafe(places["_pid"]) & (rows["_key"] == places["_pkey"])).withColumn("_at", F.col("_places")[F.col("_nth") - 1])
-    return out.select(*[c for c in docs.columns if c not in added], *[F.col("_at")[c].alias(c) for c in added])
+    same = F.row_number().over(Window.partitionBy("_pid", "_pkey").orderBy("shard", "slot"))
+    places = placed.select(F.col("row.doc_id").alias("_pid"), F.col("row._key").alias("_pkey"), *added).withColumn("_pn", same)
+    nth = F.row_number().over(Window.partitionBy("doc_id", "_key").orderBy("_all"))
+    rows = rows.withColumn("_nth", nth).select("doc_id", "_key", "_nth", "row")
+    out = rows.join(places, rows["doc_id"].eqNullSafe(places["_pid"]) & (rows["_key"] == places["_pkey"]) & (rows["_nth"] == places["_pn"]))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in added], *added)
 
 
 STAGES = [
