@@ -89,3 +89,6 @@ CEILINGS = {"decision_ece": 0.20, "decision_brier": 0.25, "psi_train_test": 0.35
 MAX_SNAPSHOT_HOURS = 24
 PACK_FLOORS = {"min_pack_n": 60, "min_proven": 3}
 SDK_SOURCES = {"device": ["device", "device_intelligence", "fingerprint", "shield", "incognia"], "vision": ["vision", "claim_vision", "image", "media", "pin"]}
+
+# Floors of an out-of-time evaluation.
+OOT_FLOORS = {"min_holdout_n": 30, "min_proven_positives": 3, "min_fraud_proven_average_precision": 0.20, "min_fraud_proven_precision_at_soft": 0.10, "max_decision_ece": 0.35}

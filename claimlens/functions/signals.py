@@ -115,3 +115,28 @@ def merge_signals(orders: DataFrame, device: Column | None = None, vision: Colum
     signals = (device_signal(device) if device is not None else {}) | (vision_signal(vision) if vision is not None else {})
     own = lambda n: F.coalesce(F.col(n).try_cast("double"), F.lit(0.0)) if n in orders.columns else F.lit(0.0)
     return orders.withColumns({n: F.when(own(n) > 0, own(n)).otherwise(c) for n, c in signals.items()})
+
+
+# Names under which senders put the parts of an envelope, the first that is there counts.
+ENVELOPE = {"source": ("source", "kind", "signal_type"), "confidence": ("confidence", "conf"), "event_ts": ("event_ts", "captured_at", "ts"),
+            "payload": ("payload", "signals", "data", "device_intelligence", "device_payload", "claim_vision", "vision_payload")}
+NESTED = {"device": ("device_intelligence", "device_payload"), "vision": ("claim_vision", "vision_payload")}
+
+
+def envelopes(lines: DataFrame, text: str = "value") -> DataFrame:
+    """JSON texts, each one envelope, a list of them or {"events": [...]}, as order_id, source, confidence, event_ts and
+    payload (JSON). A payload may be a JSON text; without a source the nested part tells it. What is no JSON or has no
+    order_id gives no row."""
+    whole = F.trim(F.col(text))
+    listed = F.when(whole.startswith("["), F.from_json(whole, "array<string>")).otherwise(F.from_json(F.get_json_object(whole, "$.events"), "array<string>"))
+    one = lines.select(F.explode(F.coalesce(listed, F.array(whole))).alias("_e"))
+    part = lambda k: F.nullif(F.get_json_object("_e", f"$.{k}"), F.lit(""))
+    first = {c: F.coalesce(*[part(k) for k in names]) for c, names in ENVELOPE.items()}
+    kind = F.coalesce(first["source"], *[F.when(F.coalesce(*[part(k) for k in names]).isNotNull(), name) for name, names in NESTED.items()])
+    out = one.select(F.trim(part("order_id")).alias("order_id"), kind.alias("source"), first["confidence"].alias("confidence"), F.to_timestamp(first["event_ts"]).alias("event_ts"), first["payload"].alias("payload"))
+    return out.where("order_id <> ''")
+
+
+def read_envelopes(spark, path: str, stream: bool = False) -> DataFrame:
+    """Envelopes of a folder of JSON-lines files, whole or as a stream."""
+    return envelopes((spark.readStream if stream else spark.read).text(path))

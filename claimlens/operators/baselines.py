@@ -124,3 +124,21 @@ def warp_thresholds(df: DataFrame, gate: DataFrame) -> DataFrame:
     out = df.join(gate.select("order_id", "abuse_relax", "fraud_relax", "tighten"), "order_id", "left")
     down, up = F.coalesce(F.greatest("abuse_relax", "fraud_relax"), F.lit(0.0)), F.coalesce("tighten", F.lit(0.0))
     return out.withColumns({k: F.least(F.lit(100.0), F.greatest(F.lit(0.0), F.col(k) - down) + up) for k in ("soft_friction", "hold_review", "auto_deny")}).drop("abuse_relax", "fraud_relax", "tighten")
+
+
+def baseline_features(keys: DataFrame, baselines: DataFrame, kinds: list[str]) -> DataFrame:
+    """order_id and four columns of each entity kind from the standing baseline of its key (exploded keys of an order): lift
+    of the last score, rate under the threshold, elevated streak, clean flag; 1, 0, 0, 0 where there is none."""
+    lift = F.col("score") / F.greatest("baseline_mean", F.lit(1e-6))
+    own = baselines.select(*KEY, F.struct(lift.alias("lift"), "under_rate", F.col("elevated_streak").cast("double").alias("elevated_streak"), F.col("is_clean").cast("double").alias("is_clean")).alias("_b"))
+    found = keys.select("order_id", "entity_kind", *KEY).join(own, KEY, "left")
+    wide = found.groupBy("order_id").pivot("entity_kind", kinds).agg(F.first("_b", True))
+    names = {"lift": ("{}_baseline_lift", 1.0), "under_rate": ("{}_baseline_under_rate", 0.0), "elevated_streak": ("{}_baseline_elevated_streak", 0.0), "is_clean": ("{}_is_clean_baseline", 0.0)}
+    return wide.select("order_id", *[F.coalesce(F.col(f"{k}.{c}"), F.lit(default)).alias(name.format(k)) for k in kinds for c, (name, default) in names.items()])
+
+
+def export_baselines(baselines: DataFrame, path: str, as_of_date: str, version: str, clean_only: bool = False) -> None:
+    """Standing baselines by as_of_date, market, vertical and kind; only the partitions it holds are replaced."""
+    from claimlens.operators.graph import export_snapshot
+
+    export_snapshot(baselines.where("is_clean") if clean_only else baselines, path, as_of_date, version, ["market", "vertical", "entity_kind"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,7 +49,7 @@ def recommend_ladders(scored: DataFrame, score: str, label: str, by: list[str] =
     cuts = cuts.withColumn("auto_deny", F.greatest(F.coalesce("_d", F.lit(defaults[2])), "hold_review")).drop("_h", "_d")
     at = sweep.select(*key, "score", "n_pred", "tp", "recall", "precision", "fp_rate")
     joined = cuts.join(at, key) if key else cuts.crossJoin(at)
-    first = joined.where(F.col("score") >= F.col("soft_friction")).groupBy(*cuts.columns).agg(F.min_by(F.struct("n_pred", "tp", "recall", "precision", "fp_rate"), "score").alias("_at")) if key or True else joined
+    first = joined.where(F.col("score") >= F.col("soft_friction")).groupBy(*cuts.columns).agg(F.min_by(F.struct("n_pred", "tp", "recall", "precision", "fp_rate"), "score").alias("_at"))
     out = first.select(*cuts.columns, "_at.*")
     low, high = wilson(F.col("tp"), F.col("n_pred"))
     out = out.withColumns({"wilson_lo": low, "wilson_hi": high, "thin": (F.col("n") < min_n) | (F.col("n_pos") < min_pos), "soft_floor_binds": F.col("soft_friction") < 10.0})
@@ -117,8 +118,12 @@ def psi(expected: DataFrame, actual: DataFrame, c: str, bins: int = 10) -> DataF
 def ranking(df: DataFrame, score: str, label: str, by: list[str] = (), digits: int = 6) -> DataFrame:
     """ROC AUC (rank sum, ties halved) and average precision per slice; null where a class is missing."""
     key = list(by)
+    return ranked_steps(df.groupBy(*key, F.round(score, digits).alias("_s")).agg(F.count("*").alias("_n"), F.sum(F.col(label).cast("long")).alias("_p")), key)
+
+
+def ranked_steps(steps: DataFrame, key: list[str]) -> DataFrame:
+    """The same from rows (_n) and positives (_p) per score step (_s)."""
     part = key or [F.lit(1)]
-    steps = df.groupBy(*key, F.round(score, digits).alias("_s")).agg(F.count("*").alias("_n"), F.sum(F.col(label).cast("long")).alias("_p"))
     up, down = Window.partitionBy(*part).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*part).orderBy(F.col("_s").desc())
     steps = steps.withColumns({"_before": F.coalesce(F.sum("_n").over(up), F.lit(0)), "_tn": F.sum("_n").over(down), "_tp": F.sum("_p").over(down)})
     ranks = F.sum(F.col("_p") * (F.col("_before") + (F.col("_n") + 1) / 2.0))
@@ -128,15 +133,58 @@ def ranking(df: DataFrame, score: str, label: str, by: list[str] = (), digits: i
 
 
 def bootstrap_precision(df: DataFrame, score: str, label: str, cut: float, rounds: int = 400, seed: int = 0) -> DataFrame:
-    """One row: percentile bounds of the precision over Poisson resamples of the flagged rows, counted first by label."""
-    flagged = df.where(F.col(score) >= cut).groupBy(F.col(label).cast("int").alias("_y")).agg(F.count("*").alias("_n"))
-    draws = flagged.crossJoin(df.sparkSession.range(rounds))
-    # the sum of n Poisson(1) weights is Poisson(n); for many rows it is close to normal
-    weight = F.greatest(F.lit(0.0), F.col("_n") + F.sqrt(F.col("_n").cast("double")) * F.randn(seed))
-    per = draws.withColumn("_w", weight).groupBy("id").agg((F.sum(F.when(F.col("_y") >= 1, F.col("_w")).otherwise(0)) / F.sum("_w")).alias("_p"))
+    """One row: percentile bounds of the precision over `rounds` Poisson resamples of the flagged rows.
+
+    Each row weighs Poisson(1) in each round, by a hash of its order_id and the round, so reruns agree; weights are
+    summed by round and label before anything is shuffled."""
+    u = (F.pmod(F.xxhash64("order_id", "_r", F.lit(seed)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
+    steps, term, total = F.lit(0), math.exp(-1), 0.0
+    for k in range(1, 12):
+        total += term
+        steps, term = steps + (u >= total).cast("int"), term / k
+    flagged = df.where(F.col(score) >= cut).select("order_id", (F.col(label) >= 1).cast("int").alias("_y"))
+    weights = flagged.select("order_id", "_y", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("_r")).withColumn("_w", steps)
+    per = weights.groupBy("_r").agg((F.sum(F.col("_y") * F.col("_w")) / F.nullif(F.sum("_w"), F.lit(0))).alias("_p"))
     return per.agg(F.percentile("_p", F.lit(0.025)).alias("lo"), F.percentile("_p", F.lit(0.975)).alias("hi"))
 
 
+def shadow_precision(decided: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Per shadow effect: orders on which a rule in shadow mode would have acted, and the share of them that a label confirms."""
+    hit = ((F.col("abuse_label") >= 1) | (F.col("fraud_label") >= 1)).cast("int")
+    rows = decided.where("shadow_effect is not null").select("order_id", "shadow_effect").join(labelled.select("order_id", hit.alias("_y")), "order_id", "left")
+    return rows.groupBy("shadow_effect").agg(F.count("*").alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).alias("n_true"), F.avg(F.coalesce("_y", F.lit(0))).alias("precision"))
+
+
+def long_form(row: DataFrame, names: list[str]) -> DataFrame:
+    """metric, value of one row's columns; those that are null are left out."""
+    return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in names])).alias("_x")).select("_x.*").where("value is not null")
+
+
+def oot_evaluation(holdout: DataFrame, score: str = "decision_score", soft: float = D.LADDER[0], floors: dict | None = None) -> DataFrame:
+    """Scored and labelled rows after the time split against the floors of an out-of-time pack: metric, value, floor,
+    ok. Values that can't be computed fail."""
+    floors = D.OOT_FLOORS if floors is None else floors
+    df = holdout.withColumns({"_proven": (F.lower("fraud_label_source") == "proven").cast("int"), "_y": ((F.col("abuse_label") >= 1) | (F.col("fraud_label") >= 1)).cast("int")})
+    row = df.agg(F.count("*").alias("holdout_n"), F.sum("_proven").alias("proven_positives"))
+    row = row.crossJoin(ranking(df, score, "_proven").select(F.col("average_precision").alias("fraud_proven_average_precision")))
+    row = row.crossJoin(rates_at(df, score, "_proven", soft).select(F.col("precision").alias("fraud_proven_precision_at_soft"))).crossJoin(ece(df, score, "_y").select(F.col("ece").alias("decision_ece")))
+    checks = [F.struct(F.lit(k[4:]).alias("metric"), F.col(k[4:]).cast("double").alias("value"), F.lit(float(v)).alias("floor"), (F.col(k[4:]) >= v if k.startswith("min_") else F.col(k[4:]) <= v).alias("ok")) for k, v in floors.items()]
+    return row.select(F.explode(F.array(*checks)).alias("_x")).select("_x.*").withColumn("ok", F.coalesce("ok", F.lit(False)))
+
+
+def backtest_report(train: DataFrame, test: DataFrame, temporal_ok: bool, score: str = "decision_score", label: str = "y") -> DataFrame:
+    """Metrics of scored and labelled rows after the time split as a long table (metric, value), with the ladder that the
+    training rows recommend, the monitoring gate and promote_ok."""
+    row = test.agg(F.count("*").alias("n_test")).crossJoin(train.agg(F.count("*").alias("n_train")))
+    row = row.crossJoin(brier(test, score, label).select(F.col("brier").alias("decision_brier"))).crossJoin(ece(test, score, label).select(F.col("ece").alias("decision_ece")))
+    row = row.crossJoin(ranking(test, score, label)).crossJoin(rates_at(test, score, label, D.LADDER[0])).crossJoin(or_head_recall(test, D.LADDER[0], 30.0)).crossJoin(psi(train, test, score).select(F.col("psi").alias("psi_train_test")))
+    row = row.crossJoin(recommend_ladders(train, score, label).select("soft_friction", "hold_review", "auto_deny", F.col("promote").cast("int").alias("ladder_ok")))
+    over = [F.coalesce(F.col(k).cast("double") > v, F.lit(True)).cast("int") for k, v in D.CEILINGS.items() if k in ("decision_ece", "decision_brier", "psi_train_test")]
+    row = row.withColumns({"temporal_ok": F.lit(int(temporal_ok)), "gate_breaches": total(over)})
+    row = row.withColumn("promote_ok", ((F.col("ladder_ok") == 1) & (F.col("gate_breaches") == 0) & F.lit(temporal_ok)).cast("int"))
+    return long_form(row, row.columns)
+
+
 def monitoring_gate(metrics: DataFrame, ceilings: dict | None = None, now=None, as_of: Column | None = None, max_hours: float = D.MAX_SNAPSHOT_HOURS) -> DataFrame:
     """metrics: one row. One row per breach: metric, value, ceiling, reason; a metric that is missing fails."""
     ceilings = D.CEILINGS if ceilings is None else ceilings
@@ -188,12 +236,14 @@ def replay_difference(full: DataFrame, cut: DataFrame, columns: list[str]) -> Da
     return a.exceptAll(b).unionByName(b.exceptAll(a))
 
 
-def source_metrics(df: DataFrame, score: str) -> DataFrame:
-    """Ranking quality of each fraud label source against the negatives."""
-    pos = df.where("fraud_label >= 1").select(F.col("fraud_label_source").alias("source"), score, F.lit(1).alias("_y"))
-    sources = pos.select("source").distinct()
-    neg = df.where("fraud_label < 1").select(score, F.lit(0).alias("_y")).crossJoin(F.broadcast(sources))
-    return ranking(pos.unionByName(neg), score, "_y", ["source"])
+def source_metrics(df: DataFrame, score: str, digits: int = 4) -> DataFrame:
+    """Ranking quality of each fraud label source against the negatives. Negatives are counted by score step before
+    they meet the sources, of which there are a handful."""
+    steps = df.groupBy(F.when(F.col("fraud_label") >= 1, F.col("fraud_label_source")).alias("source"), F.round(score, digits).alias("_s"), (F.col("fraud_label") >= 1).alias("_y")).agg(F.count("*").alias("_n"))
+    pos = steps.where("_y").select("source", "_s", "_n", F.col("_n").alias("_p"))
+    neg = steps.where("not _y").select("_s", "_n").crossJoin(F.broadcast(pos.select("source").distinct()))
+    rows = pos.unionByName(neg.select("source", "_s", "_n", F.lit(0).cast("long").alias("_p")))
+    return ranked_steps(rows.groupBy("source", "_s").agg(F.sum("_n").alias("_n"), F.sum("_p").alias("_p")), ["source"])
 
 
 def slice_metrics(df: DataFrame, score: str, label: str) -> DataFrame:

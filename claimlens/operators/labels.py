@@ -199,12 +199,28 @@ def require_proven(orders: DataFrame, least: int) -> None:
         raise ValueError(f"{n} proven labels, {least} asked for")
 
 
-def load_training_orders(orders: DataFrame, dispositions: DataFrame | None = None, sdk: DataFrame | None = None) -> DataFrame:
-    """Labelled orders: with the dispositions and the SDK's signals, as far as there are."""
+def load_training_orders(orders: DataFrame | None, dispositions: DataFrame | None = None, sdk: DataFrame | None = None, labelled: DataFrame | None = None, enriched: DataFrame | None = None) -> tuple[DataFrame, str]:
+    """Training orders and where they come from: labelled orders as they are if there are any ('labelled'), else raw orders
+    with the dispositions ('orders'), else orders that hold the SDK's columns ('enriched', without a further overlay). SDK
+    events are laid over the first two."""
     from claimlens.functions.signals import apply_sdk
 
-    out = ensure_labels(orders) if dispositions is None else apply_dispositions(orders, dispositions)
-    return out if sdk is None else apply_sdk(out, sdk)
+    if labelled is not None:
+        out, source = ensure_labels(labelled), "labelled"
+    elif orders is not None:
+        out, source = ensure_labels(orders) if dispositions is None else apply_dispositions(orders, dispositions), "orders"
+    elif enriched is not None:
+        return ensure_labels(enriched), "enriched"
+    else:
+        raise ValueError("no orders are given")
+    return (out if sdk is None else apply_sdk(out, sdk)), source
+
+
+def training_rates(orders: DataFrame) -> DataFrame:
+    """One row: orders, those proven, and the shares of proven labels and of weak policy negatives."""
+    sure = (F.lower("fraud_label_source") == "proven").cast("double")
+    weak = (F.coalesce(F.col("weak_policy_negative").cast("double"), F.lit(0.0)) >= 1).cast("double")
+    return orders.agg(F.count("*").alias("n"), F.coalesce(F.sum(sure).cast("long"), F.lit(0)).alias("n_proven"), F.avg(sure).alias("proven_rate"), F.avg(weak).alias("weak_policy_negative_rate"))
 
 
 def time_split(orders: DataFrame, holdout_days: float = 7.0, min_train: int = 20, min_test: int = 10, frac: float = 0.2) -> tuple[DataFrame, DataFrame, dict]:

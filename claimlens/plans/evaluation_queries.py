@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions import defaults as D
 from claimlens.operators import evaluation as E
-from claimlens.operators import labels, pit, scoring
+from claimlens.operators import labels, scoring
 from claimlens.plans.feature_queries import FEATURE_PARTS, VIEWS, features
 from claimlens.plans.label_queries import DISP
 from claimlens.plans.score_queries import SCORED
@@ -108,14 +108,6 @@ cl AS (SELECT * FROM (VALUES """ + ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for
 GATE_SELECT = "SELECT c.metric, round(m.value, 6) AS value, c.ceiling, CASE WHEN m.value IS NULL THEN 'missing' ELSE 'above' END AS reason FROM cl c LEFT JOIN mt m ON m.metric = c.metric WHERE m.value IS NULL OR m.value > c.ceiling"
 
 
-def replay(spark, sf):
-    """Features of the first half of the month over all history and over that half alone: no rows."""
-    cut = F.lit("2024-01-16").cast("timestamp")
-    o, h = view(spark, sf, "ord").where(F.col("event_ts") < cut), view(spark, sf, "hist")
-    cols = ["user_n30", "user_r30", "life_g", "ud_n", "uvd_r"]
-    return E.replay_difference(pit.user_windows(o, h), pit.user_windows(o, h.where(F.col("event_ts") < cut)), cols)
-
-
 def series(spark, sf):
     out = R(E.daily_refund_series(view(spark, sf, "hist")), "refund_rate")
     return out.withColumn("day", F.col("day").cast("string"))
@@ -140,7 +132,7 @@ def queries():
         "source_metrics": lambda s, d: R(E.source_metrics(frame(s, d), "decision_score"), "auc", "average_precision"),
         "pack_contract": lambda s, d: E.validate_pack(view(s, d, "ord"), view(s, d, "disp")).withColumn("ok", F.col("ok").cast("int")),
         "bootstrap_precision": lambda s, d: E.bootstrap_precision(frame(s, d), "decision_score", "y", 35.0),
-        "pit_replay": replay, "daily_refund_series": series, "segment_anomalies": anomalies,
+        "daily_refund_series": series, "segment_anomalies": anomalies,
     }
 
 

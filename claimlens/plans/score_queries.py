@@ -151,12 +151,6 @@ def recent(spark, sf):
     return scoring.archive_recent(rows, 50).select("order_id", "ts", "tier", "final_effect")
 
 
-def snapshot_read(spark, sf):
-    """Snapshots of one order id in a hundred, as a keyed reader asks for them."""
-    snaps = scoring.snapshots(scored(spark, sf)).where("order_id % 100 = 0")
-    return snaps.select("order_id", "tier", F.round("entity_scores.user", 6).alias("user_score"), F.round("link_scores.uvd", 6).alias("uvd_score"), F.size("reason_codes").alias("n_reasons"))
-
-
 def tallies(spark, sf):
     """Counts of tiers and of base, final and shadow effects, with a total of each kind."""
     out = scored(spark, sf).select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in ("tier", "base_effect", "final_effect", "shadow_effect")])).alias("_x")).select("_x.*").where("value is not null")
@@ -186,7 +180,7 @@ OPS = """SELECT count(*) AS n, round(avg(CASE WHEN tier = 'hold_review' THEN 1.0
 
 
 def queries():
-    return {"entity_scores": entity_scores, "decisions": decisions, "evidence": evidence, "entity_keys": keys, "standing_scores": standing, "touched_orders": touched, "decision_archive": archive, "archive_recent": recent, "snapshot_read": snapshot_read, "tallies": tallies, "ops_metrics": ops}
+    return {"entity_scores": entity_scores, "decisions": decisions, "evidence": evidence, "entity_keys": keys, "standing_scores": standing, "touched_orders": touched, "decision_archive": archive, "archive_recent": recent, "tallies": tallies, "ops_metrics": ops}
 
 
 def oracle_sql():
@@ -202,7 +196,6 @@ def oracle_sql():
         "touched_orders": do(KEYS + ",\n" + TOUCHED.split("\nSELECT DISTINCT")[0], "SELECT DISTINCT" + TOUCHED.split("\nSELECT DISTINCT")[1]),
         "decision_archive": do("SELECT order_id, event_ts AS ts, CAST(CAST(event_ts AS DATE) AS VARCHAR) AS day, tier, round(decision_score, 6) AS decision_score, final_effect, final_challenge FROM decided"),
         "archive_recent": do("SELECT order_id, event_ts AS ts, tier, final_effect FROM decided ORDER BY event_ts DESC, order_id DESC LIMIT 50"),
-        "snapshot_read": do(f"SELECT order_id, tier, round(user_score, 6) AS user_score, round(uvd_link_score, 6) AS uvd_score, CAST(len(string_split({REASONS}, ',')) - 1 AS INT) AS n_reasons FROM decided WHERE order_id % 100 = 0"),
         "tallies": do(TALLIES),
         "ops_metrics": do(OPS),
     }

@@ -116,6 +116,11 @@ def require_columns(df: DataFrame, needed: list[str]) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
+def query_source(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
+    """A feed given as SQL text over named tables ({name} in the text) and whatever the catalog holds."""
+    return spark.sql(text, **tables)
+
+
 def newest_file(spark: SparkSession, path: str, form: str = "parquet", **options) -> DataFrame:
     """Rows of the file of the latest modification time (the largest path of several) under path."""
     df = spark.read.options(**options).format(form).load(path)

@@ -1,4 +1,7 @@
-"""Structured Streaming forms of the risk operators. Each ends in the state its batch twin gives."""
+"""Structured Streaming forms of the risk operators.
+
+Windowed ones write a window once the watermark has closed it, so the last days of a finite input are not in the output;
+what they write equals the batch form."""
 
 from __future__ import annotations
 
