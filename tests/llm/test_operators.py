@@ -261,7 +261,8 @@ def test_decontamination_against_brute_force(spark):
                 q = q[:-1] or q
             w[20:20] = q
         rows.append((i, " ".join(w)))
-    rows += [(50, None), (51, ""), (52, items[1][1])]
+    items += [(80 + n, " ".join(f"s{k}" for k in range(n))) for n in range(1, 5)]
+    rows += [(50, None), (51, ""), (52, items[1][1]), (53, "before s0 S1 s2 s3 after that and more words"), (54, "s0 s1"), (55, "s1 s0 s2 s0")]
     got = {(x.doc_id, x.item_id): x.similarity for x in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
     bag = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)] or ([tuple(w)] if w else [])
     want = {}
@@ -279,6 +280,23 @@ def test_decontamination_against_brute_force(spark):
     assert got == pytest.approx(want)
 
 
+def test_decontamination_recall_at_the_threshold(spark):
+    """Items of 40 words in documents with a few words changed, so that similarities lie just above 0.8: brute force
+    finds 400, and the fingerprints are to miss one in a thousand at most."""
+    r = random.Random(12)
+    items = [(i, " ".join(f"q{i}x{k}" for k in range(84))) for i in range(400)]
+    rows = []
+    for i, q in items:
+        w = q.split()
+        w[r.randrange(20, 60)] = "changed"  # 5 of 80 shingles: 75 / 85
+        w[0] = "other"  # and one more: 74 / 86
+        w[-1] = "other"  # and one more: 73 / 87 = 0.84
+        w[1] = "other"  # 72 / 88 = 0.818
+        rows.append((i, "some words before " + " ".join(w) + " and after"))
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len({x.doc_id for x in got}) >= 399 and all(x.doc_id == x.item_id and 0.8 <= x.similarity < 0.85 for x in got)
+
+
 def der(tag, body):
     n = len(body)
     head = bytes([n]) if n < 128 else bytes([0x80 | (n.bit_length() + 7) // 8]) + n.to_bytes((n.bit_length() + 7) // 8, "big")
