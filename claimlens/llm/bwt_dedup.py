@@ -4,12 +4,13 @@ A byte goes if a string of 100 bytes that covers it also starts earlier. Which s
 narrowed down first (repeats.py: content-chosen anchors, equal contexts folded). The contexts that are left
 are byte strings; of a batch of them
 
-- each shard gets its suffix array and transform by prefix doubling,
-- the transforms are merged: an interleave (which shard the next suffix comes from) sorted by h bytes is
-  refined to h + 1 bytes by one stable counting sort of the bytes before the suffixes; no suffix is compared
+- each shard gets its suffix array and transform by prefix doubling; the alphabet is blocks of STEP bytes, numbered
+  in their order, so a suffix is a string of blocks and its transform holds the block before it,
+- the transforms are merged: an interleave (which shard the next suffix comes from) sorted by h blocks is
+  refined to h + 1 blocks by one stable sort of the blocks before the suffixes; no suffix is compared
   again and no text is looked at,
-- where the byte or the block above changes, a new block begins: its suffix shares just h bytes with the one
-  before it, which gives the common prefixes, and after 100 rounds the blocks are the repeated intervals.
+- where the block or the run above changes, a new run begins: its suffix shares just h blocks with the one
+  before it, which gives the common prefixes, and after 100 / STEP rounds the runs are the repeated intervals.
 
 Of an interval of windows all but the earliest are repeats.
 
@@ -33,63 +34,97 @@ from claimlens.llm.common import table
 from claimlens.llm.repeats import Windows, covered, spans_of, unzipped
 
 BYTES = Windows("byte", 100, 24)
+#: Bytes of a letter of the transforms; divides the length of a window.
+STEP = 10
 #: Into how many shards a batch of contexts is dealt.
 SHARDS = 8
 #: Contexts are merged if they agree on all but 1 / STEPS of what a window reaches beyond its seed.
 STEPS = 8
 
 
-def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The transform of the strings (values are byte + 1, at most 255, as UTF-8 has no byte 255; 0: none before), and of each sorted
-    suffix its string and where it starts. The ends of the strings sort first, in the strings' order."""
-    lengths = np.array([len(s) + 1 for s in strings])
-    own = np.repeat(np.arange(len(strings)), lengths)
+Shard = tuple[np.ndarray, np.ndarray, np.ndarray, int]
+
+
+def letters(strings: list[bytes], step: int = STEP) -> list[np.ndarray]:
+    """For each string and start of a suffix (its end, too) the number of the block of `step` bytes there, from 1 on in the
+    order of the blocks; 0 where the string ends before."""
+    lengths = np.array([len(s) for s in strings])
+    data = np.frombuffer(b"".join(strings) + bytes(step), np.uint8).astype(np.int64)
+    rank, width = data, 1
+    while width < step:  # numbers of blocks of twice the width, or of what is left, by the numbers of both halves
+        more = min(width, step - width)
+        ahead = np.zeros(len(rank), np.int64)
+        ahead[: len(rank) - more] = rank[more:]
+        rank = np.unique(rank * (int(rank.max()) + 1) + ahead, return_inverse=True)[1]
+        width += more
+    out = []
+    for begin, n in zip((np.cumsum(lengths) - lengths).tolist(), lengths.tolist(), strict=True):
+        own = np.zeros(n + 1, np.int64)
+        whole = max(0, n - step + 1)
+        own[:whole] = rank[begin : begin + whole] + 1
+        out.append(own)
+    return out
+
+
+def transform(own_letters: list[np.ndarray], step: int = STEP) -> Shard:
+    """Of a shard's strings, by the order of their suffixes: the letter before each (0: none), its string, where it starts; and
+    how many suffixes are shorter than a letter. Those sort first, in the strings' order."""
+    lengths = np.array([len(x) for x in own_letters])
+    own = np.repeat(np.arange(len(lengths)), lengths)
     begin = np.cumsum(lengths) - lengths
+    letter = np.concatenate(own_letters)
     place = np.arange(len(own)) - begin[own]
-    text = np.frombuffer(b"\xff".join(strings) + b"\xff", np.uint8) + np.uint8(1)  # ends become 0
-    rank = text.astype(np.int64) + len(strings)
-    ends = begin + lengths - 1
-    rank[ends] = np.arange(len(strings))
-    step = 1
+    end = np.flatnonzero(letter == 0)
+    rank = letter + len(end)
+    rank[end] = np.arange(len(end))
+    size, hop = len(rank), step
     while True:
-        after = np.zeros(len(rank), np.int64)
-        after[:-step] = rank[step:] + 1 if step < len(rank) else 0
-        key = rank * (int(rank.max()) + 2) + after
-        order = np.argsort(key, kind="stable")
-        fresh = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
-        rank = np.empty(len(key), np.int64)
-        rank[order] = fresh
-        if fresh[-1] == len(rank) - 1:
+        after = np.zeros(size, np.int64)
+        on = np.flatnonzero(lengths[own] - place > hop)
+        after[on] = rank[on + hop] + 1
+        kinds, rank = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)
+        if len(kinds) == size:
             break
-        step *= 2
-    before = np.concatenate([[0], text[:-1]]).astype(np.uint8)
-    before[begin] = 0
-    return before[order], own[order], place[order]
-
-
-def merge(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffixes of all shards sorted by their first `depth` bytes: shard-wise number of the string (counted
-    through all shards), start, and the bytes shared with the suffix before (depth where it is that or more)."""
-    counts = np.array([int((b == 0).sum()) for b, _, _ in shards])
-    sizes = [len(b) for b, _, _ in shards]
-    transforms = np.concatenate([b for b, _, _ in shards])
-    strings = np.concatenate([s + n for (_, s, _), n in zip(shards, np.cumsum(counts) - counts, strict=True)])
-    places = np.concatenate([p for _, _, p in shards])
-    n, ends = len(transforms), int(counts.sum())
-    end_order = np.repeat(np.arange(len(shards), dtype=np.uint8), counts)
+        hop *= 2
+    order = np.argsort(rank)
+    before = np.zeros(size, np.int64)
+    has = np.flatnonzero(place >= step)
+    before[has] = letter[has - step]
+    return before[order], own[order], place[order], len(end)
+
+
+def stable_order(values: np.ndarray) -> np.ndarray:
+    """Like a stable argsort, by one sort of value and position together."""
+    n = len(values)
+    return np.sort(values * n + np.arange(n)) % n
+
+
+def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes of all shards sorted by their first `depth` letters: shard-wise number of the string (counted
+    through all shards), start, and the letters shared with the suffix before (depth where it is that or more)."""
+    ends = np.array([e for *_, e in shards])
+    counts = np.array([int(s.max()) + 1 for _, s, _, _ in shards])
+    sizes = [len(b) for b, *_ in shards]
+    transforms = np.concatenate([b for b, *_ in shards])
+    strings = np.concatenate([s + n for (_, s, _, _), n in zip(shards, np.cumsum(counts) - counts, strict=True)])
+    places = np.concatenate([p for _, _, p, _ in shards])
+    n, n_ends = len(transforms), int(ends.sum())
+    # what has no letter before it starts in the first letter of its string and is nobody's successor
+    loose = int((transforms == 0).sum())
+    end_order = np.repeat(np.arange(len(shards), dtype=np.uint8), ends)
     interleave = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)
     fresh = np.zeros(n, bool)
     fresh[0] = True
     shared = np.full(n, depth, np.int16)
     shared[0] = 0
-    taken = np.empty(n, np.uint8)
+    taken = np.empty(n, np.int64)
     for h in range(depth):
         taken[np.argsort(interleave, kind="stable")] = transforms
-        order = np.argsort(taken, kind="stable")[ends:]  # what has nothing before it are the strings' ends
+        order = stable_order(taken)[loose:]
         interleave = np.concatenate([end_order, interleave[order]])
-        byte, block = taken[order], np.cumsum(fresh)[order]
+        letter, block = taken[order], np.cumsum(fresh)[order]
         now = np.ones(n, bool)
-        now[ends + 1 :] = (byte[1:] != byte[:-1]) | (block[1:] != block[:-1])
+        now[n_ends + 1 :] = (letter[1:] != letter[:-1]) | (block[1:] != block[:-1])
         shared[now & ~fresh] = h
         fresh = now
         if fresh.all():
@@ -127,9 +162,10 @@ def resolve(rows: list[tuple], spec: Windows = BYTES) -> list[list[tuple[int, in
         return out
     n_shards = min(SHARDS, len(order))
     cuts = np.linspace(0, len(order), n_shards + 1).astype(int)
-    shards = [transform([rows[i][4] for i in order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    string, place, shared = merge(shards, spec.length)
-    block = np.cumsum(shared < spec.length)
+    own = letters([rows[i][4] for i in order])
+    depth = spec.length // STEP
+    string, place, shared = merge([transform(own[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], depth)
+    block = np.cumsum(shared < depth)
     more = np.array([rows[i][3] & 255 for i in order])
     window = np.flatnonzero(place <= more[string])
     window = window[np.lexsort((string[window], block[window]))]

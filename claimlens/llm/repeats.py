@@ -9,11 +9,11 @@ alone, so equal windows have equal anchors at equal places, and
    as a whole: all but its first occurrence are repeats,
 3. in a seed with several contexts equal contexts are folded to their first occurrence (the others are
    repeats as a whole), and the contexts left, each there once, are compared by the caller's `resolve`,
-   which gets the contexts of one seed together, at most CONTEXTS of them,
-4. seeds with more contexts than that are settled window by window: hashes of windows are grouped with
-   partial sums, which no frequent line or passage can crowd into one task.
+   which gets the contexts of one seed together,
+4. a seed with more than CONTEXTS anchors is dealt into parts, each of which is compared by itself; what is first
+   in its part meets the other parts' firsts by window hash, with partial sums.
 
-Nothing lists pairs, and no group is gathered but those bounded by CONTEXTS.
+Nothing lists pairs, and no group is gathered but parts of about CONTEXTS contexts.
 
 Rows of one doc_id are one document of several texts, in the order of the texts' hashes; equal texts of one
 doc_id count once. A null doc_id comes before all others.
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from claimlens.llm import hashing
 from claimlens.llm.common import saved
 
-#: At most so many contexts of one seed are compared together.
-CONTEXTS = 64
+#: A seed's contexts are dealt into parts of about so many at most.
+CONTEXTS = 4096
 #: Units hashed at once; longer texts are cut into pieces that overlap.
 PIECE = 1 << 20
 
@@ -177,37 +177,36 @@ def anchor_rows(rows: DataFrame, spec: Windows, placed: bool) -> DataFrame:
 def repeated(rows: DataFrame, spec: Windows, resolve_batch) -> DataFrame:
     """_id, _part, first, more: windows of a document, from start first on, that are repeats."""
     seeds = anchor_rows(rows, spec, False).groupBy("seed").agg(F.count("*").alias("_n"), F.min("context").alias("_x"), F.max("context").alias("_y"))
-    seeds = seeds.where("_n > 1").select("seed", (F.col("_x") < F.col("_y")).alias("_several"))
+    # written, so that the join below stands alone and large partitions of it can be split
+    seeds = saved(seeds.where("_n > 1").select("seed", F.when(F.col("_x") < F.col("_y"), F.ceil(F.col("_n") / CONTEXTS)).otherwise(0).cast("int").alias("_parts")))
     hits = saved(anchor_rows(rows, spec, True).join(seeds, "seed"))
     at = F.struct("_id", "_part", "place")
-    firsts = hits.groupBy("seed", "context", "_several").agg(F.min(at).alias("_at"))
-    firsts = saved(firsts.select("seed", "context", "_several", "_at.*").withColumnsRenamed({"_id": "_fid", "_part": "_fpart", "place": "_fplace"}))
-    later = hits.join(firsts.drop("_several"), ["seed", "context"])
+    firsts = hits.groupBy("seed", "context", "_parts").agg(F.min(at).alias("_at"))
+    firsts = saved(firsts.select("seed", "context", "_parts", "_at.*").withColumnsRenamed({"_id": "_fid", "_part": "_fpart", "place": "_fplace"}))
+    later = hits.join(firsts.drop("_parts"), ["seed", "context"])
     later = later.where(~(F.col("_id").eqNullSafe(F.col("_fid")) & (F.col("_part") == F.col("_fpart")) & (F.col("place") == F.col("_fplace"))))
     # rows alike in id and text share their place, which is not earlier than itself
     whole = later.select("_id", "_part", F.shiftright("place", 16).alias("first"), F.col("place").bitwiseAND(F.lit(255)).alias("more"))
 
-    several = firsts.where("_several")
-    crowd = several.groupBy("seed").agg(F.count("*").alias("_m"))
-    several = several.join(crowd, "seed").select(F.col("_fid").alias("_id"), F.col("_fpart").alias("_part"), F.col("_fplace").alias("place"), "seed", (F.col("_m") > CONTEXTS).alias("_crowded"))
-    asked = several.groupBy("_id", "_part").agg(F.collect_list(F.struct("seed", "place", "_crowded")).alias("_asked"))
+    several = firsts.where("_parts > 0").select(F.col("_fid").alias("_id"), F.col("_fpart").alias("_part"), F.col("_fplace").alias("place"), "seed", "_parts")
+    asked = several.groupBy("_id", "_part").agg(F.collect_list(F.struct("seed", "place", "_parts")).alias("_asked"))
     texts = zipped(rows.select("_id", "_part", "text")).join(asked, ["_id", "_part"])
-    pieces = saved(_segments(texts, spec))
+    pieces = _segments(texts, spec).withColumn("_salt", F.pmod(F.xxhash64("_id", "_part"), F.col("_parts")).cast("int"))
+    n = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pieces.repartition(n, "seed", "_salt").sortWithinPartitions("seed", "_salt", "_id", "_part", "place")
+    dealt = dealt.select("seed", "_id", "_part", "place", "segment", "_salt", "_parts")
+    compared = saved(dealt.mapInArrow(_resolver(spec, resolve_batch), "_id bigint, _part bigint, first bigint, more bigint, w1 bigint, w2 bigint"))
 
-    few = pieces.where("segment is not null").select("seed", "_id", "_part", "place", "segment")
-    n = int(few.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    few = few.repartition(n, "seed").sortWithinPartitions("seed", "_id", "_part", "place")
-    compared = few.mapInArrow(_resolver(resolve_batch), "_id bigint, _part bigint, first bigint, more bigint")
-
-    many = pieces.where("segment is null").select("w1", "w2", "_id", "_part", F.col("place").alias("first"))
-    begin = many.groupBy("w1", "w2").agg(F.min(F.struct("_id", "_part", "first")).alias("_b"), F.count("*").alias("_n")).where("_n > 1")
-    many = many.join(begin.select("w1", "w2", "_b"), ["w1", "w2"]).where(F.struct("_id", "_part", "first") > F.col("_b"))
-    many = many.select("_id", "_part", "first", F.lit(0).cast("long").alias("more"))
-    return whole.unionByName(compared).unionByName(many)
+    # windows that are first in their part of a seed with several
+    open_ = compared.where("w1 is not null").drop("more")
+    begin = open_.groupBy("w1", "w2").agg(F.min(F.struct("_id", "_part", "first")).alias("_b"), F.count("*").alias("_n")).where("_n > 1")
+    across = open_.join(begin.select("w1", "w2", "_b"), ["w1", "w2"]).where(F.struct("_id", "_part", "first") > F.col("_b"))
+    across = across.select("_id", "_part", "first", F.lit(0).cast("long").alias("more"))
+    return whole.unionByName(compared.where("w1 is null").drop("w1", "w2")).unionByName(across)
 
 
 def _segments(texts: DataFrame, spec: Windows) -> DataFrame:
-    """For each asked context its units (bytes, or hashes of words), or if its seed is crowded a row for each of its windows."""
+    """The units (bytes, or hashes of words) of each asked context."""
     size = spec.length
 
     def work(batches):
@@ -218,44 +217,58 @@ def _segments(texts: DataFrame, spec: Windows) -> DataFrame:
                 asked = batch.column(3).to_pylist()
                 out: list[tuple] = []
                 for first, units, offsets in unit_chunks(raws, spec.unit):
-                    run, other = hashing.Runs(units), hashing.Runs(hashing.mixed(units))
                     for t in range(len(offsets) - 1):
                         i, b = first + t, int(offsets[t])
                         for x in asked[i]:
                             start, more = x["place"] >> 16, x["place"] & 255
-                            if not x["_crowded"]:
-                                part = raws[i][start : start + more + size] if spec.unit == "byte" else units[b + start : b + start + more + size].tobytes()
-                                out.append((x["seed"], i, x["place"], part, None, None))
-                                continue
-                            starts = b + start + np.arange(more + 1)
-                            w1 = run.between(starts, starts + size)
-                            w2 = other.between(starts, starts + size)
-                            out += [(x["seed"], i, start + j, None, p, q) for j, (p, q) in enumerate(zip(w1.view(np.int64).tolist(), w2.view(np.int64).tolist(), strict=True))]
+                            part = raws[i][start : start + more + size] if spec.unit == "byte" else units[b + start : b + start + more + size].tobytes()
+                            out.append((x["seed"], i, x["place"], part, x["_parts"]))
                 of = pa.array([r[1] for r in out], pa.int64())
-                kinds = {0: pa.int64(), 2: pa.int64(), 3: pa.binary(), 4: pa.int64(), 5: pa.int64()}
-                col = {j: pa.array([r[j] for r in out], kind) for j, kind in kinds.items()}
-                yield pa.RecordBatch.from_arrays([col[0], batch.column(0).take(of), batch.column(1).take(of), col[2], col[3], col[4], col[5]], names=["seed", "_id", "_part", "place", "segment", "w1", "w2"])
+                col = {j: pa.array([r[j] for r in out], kind) for j, kind in {0: pa.int64(), 2: pa.int64(), 3: pa.binary(), 4: pa.int32()}.items()}
+                yield pa.RecordBatch.from_arrays([col[0], batch.column(0).take(of), batch.column(1).take(of), col[2], col[3], col[4]], names=["seed", "_id", "_part", "place", "segment", "_parts"])
+
+    return texts.mapInArrow(work, "seed bigint, _id bigint, _part bigint, place bigint, segment binary, _parts int")
+
+
+def _hashed(segment: bytes, unit: str, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each of the windows that start there."""
+    units = byte_hashes(segment) if unit == "byte" else np.frombuffer(segment, np.uint64)
+    return tuple(hashing.Runs(u).between(starts, starts + size).view(np.int64) for u in (units, hashing.mixed(units)))
+
 
-    return texts.mapInArrow(work, "seed bigint, _id bigint, _part bigint, place bigint, segment binary, w1 bigint, w2 bigint")
+def byte_hashes(data: bytes) -> np.ndarray:
+    return hashing.byte_units(np.frombuffer(data, np.uint8))
 
 
-def _resolver(resolve_batch):
-    """Rows sorted by seed -> repeats; resolve_batch gets whole seeds, many at once: (seed, id, part, place,
-    segment) rows -> for each row its list of (first, last) windows that are repeats."""
+def _resolver(spec: Windows, resolve_batch):
+    """Rows sorted by seed and part -> repeats; resolve_batch gets whole parts, many at once: (seed, id, part, place,
+    segment) rows -> for each row its list of (first, last) windows that are repeats. Of seeds with several parts
+    the other windows are returned, too, with their hashes."""
 
     def flush(rows: list[tuple]):
-        found = resolve_batch(rows)
-        out = [(r[1], r[2], (r[3] >> 16) + f, e - f) for r, spans in zip(rows, found, strict=True) for f, e in spans]
-        return pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], pa.int64()) for j in range(4)], names=["_id", "_part", "first", "more"])
+        found = resolve_batch([((r[0], r[5]), *r[1:5]) for r in rows])
+        out = []
+        for r, spans in zip(rows, found, strict=True):
+            start, more = r[3] >> 16, r[3] & 255
+            out += [(r[1], r[2], start + f, e - f, None, None) for f, e in spans]
+            if r[6] > 1:
+                left = np.ones(more + 1, bool)
+                for f, e in spans:
+                    left[f : e + 1] = False
+                left = np.flatnonzero(left)
+                w1, w2 = _hashed(r[4], spec.unit, left, spec.length)
+                out += [(r[1], r[2], start + f, 0, p, q) for f, p, q in zip(left.tolist(), w1.tolist(), w2.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], pa.int64()) for j in range(6)], names=["_id", "_part", "first", "more", "w1", "w2"])
 
     def work(batches):
         held: list[tuple] = []
         size = 0
         for batch in batches:
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and r[0] == held[-1][0] and r[1:4] == held[-1][1:4]:
+                same = held and r[0] == held[-1][0] and r[5] == held[-1][5]
+                if same and r[1:4] == held[-1][1:4]:
                     continue  # rows alike in id and text
-                if size > FLUSH and r[0] != held[-1][0]:
+                if size > FLUSH and not same:
                     yield flush(held)
                     held, size = [], 0
                 held.append(r)
@@ -266,8 +279,8 @@ def _resolver(resolve_batch):
     return work
 
 
-#: Bytes of segments that are compared at once.
-FLUSH = 1 << 15
+#: Bytes of segments that are compared at once; a part of a seed is not cut.
+FLUSH = 1 << 19
 
 
 def spans_of(windows: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
