@@ -63,6 +63,12 @@ def removed(units_of, length, rows):
     return out
 
 
+def runs_of(gone):
+    """(start, end) of each run of True."""
+    edges = [i for i in range(len(gone) + 1) if (gone[i] if i < len(gone) else False) != (gone[i - 1] if i else False)]
+    return list(zip(edges[::2], edges[1::2]))
+
+
 def test_substring_dedup_by_words(docs):
     rows = corpus()
     want = removed(lambda t: (t or "").encode().split(), 20, rows)
@@ -79,16 +85,23 @@ def test_substring_dedup_by_bytes(docs):
     want = removed(lambda t: (t or "").encode(), 100, corpus())
     got = {r.doc_id: r for r in bwt_dedup.deduplicated(docs).collect()}
     assert set(got) == set(want)
+    text = {r[0]: (r[1] or "").encode() for r in corpus()}
     for d, gone in want.items():
-        assert sum(s.end - s.start for s in got[d].spans) == sum(gone)
+        assert [(s.start, s.end) for s in got[d].spans] == runs_of(gone)
         assert got[d].n_bytes == len(gone)
+        assert bytes(got[d].kept) == bytes(b for b, g in zip(text[d], gone) if not g)
 
 
-def test_crowded_seeds_give_the_same(docs, monkeypatch):
-    monkeypatch.setattr(repeats, "CONTEXTS", 1)
+@pytest.mark.parametrize("contexts", [1, 3])
+def test_hot_seeds_in_parts_give_the_same(docs, monkeypatch, contexts):
+    """One passage in a quarter of the documents, its seeds dealt into many parts."""
+    monkeypatch.setattr(repeats, "CONTEXTS", contexts)
     want = removed(lambda t: (t or "").encode().split(), 20, corpus())
     for r in seed_extend.maximal_repeats(docs).collect():
-        assert sum(s.end - s.start for s in r.spans) == sum(want[r.doc_id])
+        assert [(s.start, s.end) for s in r.spans] == runs_of(want[r.doc_id])
+    want = removed(lambda t: (t or "").encode(), 100, corpus())
+    for r in bwt_dedup.deduplicated(docs).collect():
+        assert [(s.start, s.end) for s in r.spans] == runs_of(want[r.doc_id])
 
 
 def test_repeated_rows_and_empty_table(spark, empty):
@@ -99,15 +112,24 @@ def test_repeated_rows_and_empty_table(spark, empty):
     assert seed_extend.maximal_repeats(empty).count() == 0 and bwt_dedup.deduplicated(empty).count() == 0
 
 
-def test_merged_transforms_sort_like_all_suffixes():
-    r = random.Random(1)
-    strings = ["".join(r.choice("ab") for _ in range(r.randint(1, 30))).encode() for _ in range(12)]
-    shards = [bwt_dedup.transform(strings[i : i + 3]) for i in range(0, 12, 3)]
-    string, place, shared = bwt_dedup.merge(shards, 40)
-    suffixes = [strings[s][p:] for s, p in zip(string, place)]
-    assert suffixes == sorted(suffixes)
-    for a, b, n in zip(suffixes, suffixes[1:], shared[1:]):
-        assert len(os.path.commonprefix([a, b])) == n
+@pytest.mark.parametrize("step", [1, 3, 10])
+def test_merged_transforms_sort_like_all_suffixes(step):
+    r = random.Random(step)
+    strings = ["".join(r.choice("ab") for _ in range(r.randint(1, 45))).encode() for _ in range(12)]
+    own = bwt_dedup.letters(strings, step)
+    string, place, shared = bwt_dedup.merge([bwt_dedup.transform(own[i : i + 3], step) for i in range(0, 12, 3)], 50)
+
+    def suffix(i, p):
+        """Its blocks, and then what tells ends apart and comes before all blocks."""
+        s = strings[i]
+        q = range(p, len(s) - step + 1, step)
+        return [(1, s[j : j + step]) for j in q] + [(0, i, p + step * len(q))]
+
+    assert sorted(zip(string.tolist(), place.tolist())) == [(i, p) for i, s in enumerate(strings) for p in range(len(s) + 1)]
+    found = [suffix(i, p) for i, p in zip(string, place)]
+    assert found == sorted(found)
+    for a, b, n in zip(found, found[1:], shared[1:]):
+        assert n == next(k for k in range(99) if a[k : k + 1] != b[k : k + 1])
 
 
 def brute_groups(rows, percent):
