@@ -165,13 +165,26 @@ def apart(members: DataFrame) -> DataFrame:
 def shared_elements(members: DataFrame) -> DataFrame:
     """A row for each prefix element of a member's difference that another member has, with its place i. Elements that
     few have come first; what nobody shares gives no row, but has its place."""
-    each = members.select("a", "b", "home", "comp", "linked", "version", "n", "d", "short", F.greatest("short", "long").alias("_upto"), F.explode("elements").alias("_e"))
+    # the classes of a leader of many are dealt out before each gives its elements
+    each = members.repartition("a", "b").select("a", "b", "home", "comp", "linked", "version", "n", "d", "short", F.greatest("short", "long").alias("_upto"), F.explode("elements").alias("_e"))
     each = saved(each.withColumn("grp", F.xxhash64("a", "_e")).drop("_e"))
     often = each.groupBy("grp").agg(F.count("*").alias("_f"))
     place = F.row_number().over(Window.partitionBy("a", "b", "version").orderBy("_f", "grp")) - 1
     return each.join(often, "grp").withColumn("i", place).where("_f > 1 and i < _upto").drop("_f", "_upto", "version")
 
 
+def useful(meet: DataFrame, percent: int) -> DataFrame:
+    """Rows that could pass possible() with the best partner of their group: by what linked and other members have.
+
+    With e = d - c * n and f = d - 2 * i + c * n, elements left suffice for a pair if e of each is at most f of the other."""
+    c = (100 - percent) / (100 + percent)
+    e, f = F.col("d") - c * F.col("n"), F.col("d") - 2 * F.col("i") + c * F.col("n")
+    of = {"k": F.col("linked"), "u": ~F.col("linked")}
+    best = meet.groupBy("grp").agg(*[F.min(F.when(is_, e)).alias(f"_e{k}") for k, is_ in of.items()], *[F.max(F.when(is_, f)).alias(f"_f{k}") for k, is_ in of.items()])
+    fits = {k: F.coalesce((F.col(f"_e{k}") <= f + 1e-9) & (F.col(f"_f{k}") >= e - 1e-9), F.lit(False)) for k in of}
+    return meet.join(best, "grp").where(fits["u"] | (~F.col("linked") & fits["k"])).select(*meet.columns)
+
+
 def possible(meet: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes that share a prefix element of their differences and can link by positions and sizes."""
     c = (100 - percent) / (100 + percent)
@@ -210,7 +223,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     at = comp.select(F.col("node").alias("b"), "comp")
     members = compared.join(home, "b").join(at, "b", "left").withColumn("comp", F.coalesce("comp", "b")).withColumn("grp", F.xxhash64("a"))
     meet = saved(shared_elements(apart(members)))
-    pairs = possible(apart(meet), percent).join(led, ["a", "b"], "left_anti")
+    pairs = possible(apart(useful(meet, percent)), percent).join(led, ["a", "b"], "left_anti")
     found = saved(verified(pairs, texts, percent).select("a", "b", "linked"))
     comp = joined(comp, found.where("linked").select("a", "b"))
 
