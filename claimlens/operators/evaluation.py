@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions import defaults as D
+from claimlens.operators.ranks import quantiles
 
 
 def threshold_sweep(scored: DataFrame, score: str, label: str, by: list[str] = (), amount: str | None = None, digits: int = 4) -> DataFrame:
@@ -94,7 +95,7 @@ def ece(df: DataFrame, score: str, label: str, bins: int = 10, binning: str = "f
 
 def quantile_edges(df: DataFrame, c: str, bins: int) -> DataFrame:
     """One row: the distinct quantiles at 0, 1/bins, ..., 1."""
-    return df.agg(F.array_sort(F.array_distinct(F.percentile(c, F.array(*[F.lit(i / bins) for i in range(bins + 1)])))).alias("_edges"))
+    return quantiles(df, {"_edges": F.col(c)}, [i / bins for i in range(bins + 1)]).select(F.array_sort(F.array_distinct("_edges")).alias("_edges"))
 
 
 def with_bins(df: DataFrame, edges: DataFrame, c: str) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions import defaults as D
 from claimlens.functions.signals import market_key, vertical_key
 from claimlens.operators import pit
+from claimlens.operators.ranks import quantiles, running
 
 SLICE = ["market", "vertical"]
 EDGE = [*SLICE, "user_id", "vendor_id"]
@@ -37,27 +40,20 @@ def raw_edges(rows: DataFrame) -> DataFrame:
     return edges.withColumns(edge_columns(F.col("n_orders"), F.col("n_refunds"), F.col("_n") - F.col("n_orders"), F.col("_r") - F.col("n_refunds"))).drop("_n", "_r")
 
 
-def shuffled(rows: DataFrame, seed: int, buckets: int = 1) -> DataFrame:
+def shuffled(here: DataFrame, seed: int) -> DataFrame:
     """Vendors permuted within each slice: the k-th row by order_id gets the vendor of the k-th row by a seeded md5.
-
-    buckets > 1 permutes within as many random parts of a slice, so that no slice is sorted in one task."""
+    here: settled rows with `_k`, their rank by order_id in the slice."""
     tag = F.md5(F.concat(F.col("order_id").cast("string"), F.lit(f"|{seed}")))
-    part = F.pmod(F.xxhash64("order_id"), F.lit(buckets))
-    rows = rows.withColumns({"_b": part, "_tag": tag})
-    key = [*SLICE, "_b"]
-    here = rows.withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy("order_id"))).drop("vendor_id")
-    there = rows.select(*key, "vendor_id", F.row_number().over(Window.partitionBy(*key).orderBy("_tag", "order_id")).alias("_k"))
-    return here.join(there, [*key, "_k"]).drop("_b", "_tag", "_k")
+    there = running(here.select(*SLICE, "order_id", "vendor_id", tag.alias("_tag")), SLICE, [F.col("_tag"), F.col("order_id")], name="_k")
+    return here.drop("vendor_id").join(there.select(*SLICE, "vendor_id", "_k"), [*SLICE, "_k"]).drop("_k")
 
 
-def null_threshold(rows: DataFrame, shuffles: int | None = None, percentile: float | None = None, buckets: int = 1) -> DataFrame:
+def null_threshold(rows: DataFrame, shuffles: int | None = None, percentile: float | None = None) -> DataFrame:
     """One row: null_threshold, the percentile of edge anomalies over all shuffles; null if the history is too short."""
     c = D.EDGES
-    pool = None
-    for s in range(shuffles or c["shuffles"]):
-        one = raw_edges(shuffled(rows, s, buckets)).select("edge_anomaly")
-        pool = one if pool is None else pool.unionByName(one)
-    cut = pool.agg(F.percentile("edge_anomaly", F.lit(percentile or c["percentile"])).alias("_cut"))
+    here = running(rows.select(*EDGE, "order_id", "is_refund"), SLICE, [F.col("order_id")], name="_k")
+    pool = reduce(DataFrame.unionByName, [raw_edges(shuffled(here, s)).select("edge_anomaly") for s in range(shuffles or c["shuffles"])])
+    cut = quantiles(pool, {"_cut": F.col("edge_anomaly")}, [percentile or c["percentile"]]).select(F.col("_cut")[0].alias("_cut"))
     size = rows.agg(F.count("*").alias("_size"))
     return cut.crossJoin(size).select(F.when(F.col("_size") >= c["min_history"], F.col("_cut")).alias("null_threshold"))
 
@@ -74,11 +70,11 @@ def mo_tag(elevated: Column, user_degree: Column, vendor_degree: Column) -> Colu
     return F.when(~elevated, "").when((user_degree <= 2) & (vendor_degree <= 8), "possible_collusion").when(user_degree >= 4, "user_scatter_refunds").otherwise("elevated_uv")
 
 
-def uv_edges(history: DataFrame, null_test: bool = True, buckets: int = 1) -> DataFrame:
+def uv_edges(history: DataFrame, null_test: bool = True) -> DataFrame:
     rows = settled(history)
     edges = raw_edges(rows)
     if null_test:
-        cut = null_threshold(rows, buckets=buckets)
+        cut = null_threshold(rows)
         edges = edges.crossJoin(F.broadcast(cut))
         edges = edges.withColumn("elevated", F.col("elevated") & (F.col("null_threshold").isNull() | (F.col("edge_anomaly") > F.col("null_threshold")))).drop("null_threshold")
     return with_tags(edges)

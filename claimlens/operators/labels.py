@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions import defaults as D
 from claimlens.operators import graph
+from claimlens.operators.ranks import quantiles, running
 from claimlens.sources.tables import written
 
 _TYPES = {c: "string" if c == "fraud_label_source" else "int" for c in D.LABEL_COLUMNS}
@@ -108,9 +109,10 @@ def anomaly_scores(df: DataFrame, clip: float = 10.0) -> DataFrame:
     """unsupervised_anomaly_score: mean over the columns of |x - median| / (1.4826 MAD), each at most clip (MAD 0: 1)."""
     cols = [c for c in ANOMALY_COLUMNS if c in df.columns]
     x = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols}
-    mid = df.agg(*[F.percentile(x[c], F.lit(0.5)).alias(f"_m_{c}") for c in cols])
+    first = lambda q: q.select(*[F.col(c)[0].alias(c) for c in q.columns])
+    mid = first(quantiles(df, {f"_m_{c}": x[c] for c in cols}, [0.5]))
     df = written(df.crossJoin(F.broadcast(mid)))
-    mad = df.agg(*[F.percentile(F.abs(x[c] - F.col(f"_m_{c}")), F.lit(0.5)).alias(f"_d_{c}") for c in cols])
+    mad = first(quantiles(df, {f"_d_{c}": F.abs(x[c] - F.col(f"_m_{c}")) for c in cols}, [0.5]))
     df = df.crossJoin(F.broadcast(mad))
     z = [F.least(F.abs(x[c] - F.col(f"_m_{c}")) / F.when(F.col(f"_d_{c}") == 0, F.lit(1.0)).otherwise(1.4826 * F.col(f"_d_{c}")), F.lit(clip)) for c in cols]
     return df.withColumn("unsupervised_anomaly_score", reduce(lambda a, b: a + b, z) / float(len(cols))).drop(*[f"_{k}_{c}" for c in cols for k in "md"])
@@ -119,9 +121,9 @@ def anomaly_scores(df: DataFrame, clip: float = 10.0) -> DataFrame:
 def capped(df: DataFrame, candidate: Column, score: str, cap: Column) -> DataFrame:
     """`_pick`: the candidates of the highest scores (ties: the smaller order_id), as many as cap.
 
-    Only candidates are ranked; they are few beside the rows."""
+    Only candidates are ranked, in ranges of their order."""
     df = df.withColumn("_cand", F.coalesce(candidate, F.lit(False)))
-    rank = df.where("_cand").withColumn("_rank", F.row_number().over(Window.orderBy(F.col(score).desc(), "order_id"))).select(F.col("order_id").alias("_oid"), "_rank")
+    rank = running(df.where("_cand").select(F.col("order_id").alias("_oid"), F.col(score).alias("_by")), [], [F.col("_by").desc(), F.col("_oid")]).select("_oid", "_rank")
     size = df.agg(cap.cast("long").alias("_cap"))
     out = df.join(rank, df["order_id"] == rank["_oid"], "left").crossJoin(F.broadcast(size))
     return out.withColumn("_pick", F.coalesce(F.col("_rank") <= F.col("_cap"), F.lit(False))).drop("_oid", "_rank", "_cap", "_cand")
@@ -130,7 +132,7 @@ def capped(df: DataFrame, candidate: Column, score: str, cap: Column) -> DataFra
 def mint_robust_anomaly(features: DataFrame, pct: float = 0.95, max_frac: float = 0.02) -> DataFrame:
     """Discovery labels for the most anomalous rows: from the percentile on, unprotected, not proxies, capped."""
     df = written(anomaly_scores(written(ensure_labels(features))))
-    cut = df.agg(F.percentile("unsupervised_anomaly_score", F.lit(pct)).alias("_cut"))
+    cut = quantiles(df, {"_cut": F.col("unsupervised_anomaly_score")}, [pct]).select(F.col("_cut")[0].alias("_cut"))
     df = df.crossJoin(F.broadcast(cut))
     cand = (F.col("unsupervised_anomaly_score") >= F.col("_cut")) & ~proven() & ~F.lower("fraud_label_source").isin("proxy", "proven")
     out = capped(df, cand, "unsupervised_anomaly_score", F.floor(F.count("*") * max_frac))
@@ -229,7 +231,7 @@ def time_split(orders: DataFrame, holdout_days: float = 7.0, min_train: int = 20
     t = F.unix_micros("event_ts")
     first, last, n, valid = orders.agg(F.min(t), F.max(t), F.count("*"), F.count(t)).first()
     if valid < min_train + min_test:
-        ranked = orders.withColumn("_k", F.row_number().over(Window.orderBy("order_id")))
+        ranked = running(orders, [], [F.col("order_id")], name="_k")
         cut = max(n // 2, 1)
         return ranked.where(F.col("_k") <= cut).drop("_k"), ranked.where(F.col("_k") > cut).drop("_k"), {"mode": "positional", "temporal_ok": False}
     hold = int(holdout_days * 86_400_000_000)

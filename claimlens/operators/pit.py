@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY = 86_400_000_000
+MINUTE = 60_000_000
 #: Entity windows in days, and the shrinkage of rates.
 LINKS = {"ud": ["user_id", "driver_id"], "uv": ["user_id", "vendor_id"], "vd": ["vendor_id", "driver_id"], "uvd": ["user_id", "vendor_id", "driver_id"]}
 
@@ -76,16 +77,19 @@ def window_sums(orders: DataFrame, history: DataFrame, wanted: dict[str, tuple[l
 def base_rate(orders: DataFrame, history: DataFrame, keys: list[str] = ()) -> DataFrame:
     """order_id, base_n, base_r, base_rate: all history up to the order, or all of the same keys.
 
-    A running total without keys would sort everything in one task, so it is made of the totals of the days
-    before and of a running total within the day."""
+    A running total without keys would sort everything in one task, so it is made of the totals of the minutes
+    before (1,440 rows a day) and of a running total within the minute."""
     keys = list(keys)
-    rows = timeline(orders, history, keys).withColumn("_day", F.floor(F.col("_t") / DAY))
-    days = rows.groupBy(*keys, "_day").agg(F.sum("_w").alias("_dn"), F.sum("_r").alias("_dr"))
-    before = Window.partitionBy(*(keys or [F.lit(1)])).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(*keys, "_day", F.coalesce(F.sum("_dn").over(before), F.lit(0)).alias("_pn"), F.coalesce(F.sum("_dr").over(before), F.lit(0)).alias("_pr"))
-    within = Window.partitionBy(*keys, "_day").orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumns({"_in": F.sum("_w").over(within), "_ir": F.sum("_r").over(within)}).where("_w = 0").join(days, [*keys, "_day"])
-    own = _micros(history).select(F.col("order_id"), *[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_t").alias("_ot"), F.col("is_refund").cast("long").alias("_or"))
+    rows = timeline(orders, history, keys).withColumn("_minute", F.floor(F.col("_t") / MINUTE))
+    minutes = rows.groupBy(*keys, "_minute").agg(F.sum("_w").alias("_dn"), F.sum("_r").alias("_dr")).withColumn("_day", F.floor(F.col("_minute") / 1440))
+    days = minutes.groupBy(*keys, "_day").agg(F.sum("_dn").alias("_n"), F.sum("_dr").alias("_r"))
+    before = lambda c, by, at: F.coalesce(F.sum(c).over(Window.partitionBy(*(by or [F.lit(1)])).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    days = days.select(*keys, "_day", before("_n", keys, "_day").alias("_yn"), before("_r", keys, "_day").alias("_yr"))
+    minutes = minutes.withColumns({"_tn": before("_dn", [*keys, "_day"], "_minute"), "_tr": before("_dr", [*keys, "_day"], "_minute")}).join(days, [*keys, "_day"])
+    minutes = minutes.select(*keys, "_minute", (F.col("_yn") + F.col("_tn")).alias("_pn"), (F.col("_yr") + F.col("_tr")).alias("_pr"))
+    within = Window.partitionBy(*keys, "_minute").orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumns({"_in": F.sum("_w").over(within), "_ir": F.sum("_r").over(within)}).where("_w = 0").join(minutes, [*keys, "_minute"])
+    own = _micros(history.join(orders.select("order_id").distinct(), "order_id", "left_semi")).select(F.col("order_id"), *[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_t").alias("_ot"), F.col("is_refund").cast("long").alias("_or"))
     mine = rows.select("order_id", *keys, "_t").join(own, "order_id")
     same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_o_{k}") for k in keys], F.col("_ot") <= F.col("_t"))
     less = mine.groupBy("order_id").agg(F.sum(same.cast("long")).alias("_ln"), F.sum(F.when(same, F.col("_or")).otherwise(0)).alias("_lr"))
