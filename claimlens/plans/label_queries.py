@@ -143,11 +143,11 @@ def sample(spark, sf):
     return labels.stratified_sample(labelled(spark, sf), 200).select("order_id", "abuse_label", "fraud_label")
 
 
-SAMPLE = """s AS (SELECT count(*) AS total, count(CASE WHEN abuse_label >= 1 OR fraud_label >= 1 THEN 1 END) AS few FROM lab),
-k AS (SELECT total, few, least(few, greatest(1, CAST(round_even(200 * least(0.5, few / total * 2.0), 0) AS BIGINT))) AS a FROM s),
-q AS (SELECT 200 - least(200 - a, total - few) AS nf, least(200 - a, total - few) AS nr FROM k)
+_sample = lambda n: f"""s AS (SELECT count(*) AS total, count(CASE WHEN abuse_label >= 1 OR fraud_label >= 1 THEN 1 END) AS few FROM lab),
+k AS (SELECT total, few, least(few, greatest(1, CAST(round_even({n} * least(0.5, few / total * 2.0), 0) AS BIGINT))) AS a FROM s),
+q AS (SELECT {n} - least({n} - a, total - few) AS nf, least({n} - a, total - few) AS nr FROM k)
 SELECT order_id, abuse_label, fraud_label FROM (SELECT *, abuse_label >= 1 OR fraud_label >= 1 AS mi, row_number() OVER (PARTITION BY abuse_label >= 1 OR fraud_label >= 1 ORDER BY md5(CAST(order_id AS VARCHAR) || '|42'), order_id) AS r FROM lab), q
-WHERE r <= CASE WHEN mi THEN nf ELSE nr END"""
+WHERE r <= CASE WHEN mi THEN nf ELSE nr END"""
 
 
 def queries():
@@ -159,10 +159,10 @@ def queries():
         "label_sources": lambda s, d: labels.proxy_fraud_labels(featured(s, d)).groupBy("fraud_label_source").agg(F.count("*").alias("n"), F.sum("fraud_label").cast("long").alias("n_fraud"), F.sum("abuse_label").cast("long").alias("n_abuse")),
         "time_split": split, "stratified_sample": sample,
         "random_cap": lambda s, d: labels.random_cap(view(s, d, "ord"), 100).select("order_id"),
-        "history_lookback": lambda s, d: labels.lookback(view(s, d, "hist"), 10).groupBy("market").agg(F.count("*").alias("n"), F.sum("cents").alias("cents")),
-        "history_pruned": lambda s, d: labels.prune_history(view(s, d, "hist"), labels.random_cap(view(s, d, "ord"), 20), view(s, d, "dev")).select("order_id"),
+        "history_lookback": lambda s, d: labels.lookback(view(s, d, "hist"), 180).groupBy("market").agg(F.count("*").alias("n"), F.sum("cents").alias("cents")),
+        "history_pruned": lambda s, d: labels.prune_history(view(s, d, "hist"), labels.random_cap(view(s, d, "ord"), 5000), view(s, d, "dev")).select("order_id"),
         "review_sample": lambda s, d: labels.review_sample(view(s, d, "disp")).select("order_id", "disposition", "qa_status"),
-        "training_frame": lambda s, d: labels.training_frame(labelled(s, d), view(s, d, "hist"), view(s, d, "dev"), view(s, d, "usr"), 200).select("order_id", F.round("user_refund_rate_30d", 6).alias("user_refund_rate_30d"), "abuse_label"),
+        "training_frame": lambda s, d: labels.training_frame(labelled(s, d), view(s, d, "hist"), view(s, d, "dev"), view(s, d, "usr")).select("order_id", F.round("user_refund_rate_30d", 6).alias("user_refund_rate_30d"), "abuse_label"),
     }
 
 
@@ -184,10 +184,10 @@ def oracle_sql():
         "proven_count": d("SELECT count(DISTINCT order_id) AS n_proven FROM (SELECT order_id FROM disp WHERE disposition IN (" + ", ".join(repr(k) for k, v in D.OUTCOMES.items() if v[3] == "proven") + f") UNION ALL SELECT order_id FROM lab WHERE {PROVEN})"),
         "label_sources": f(PROXY, "SELECT fraud_label_source, count(*) AS n, CAST(sum(fraud_label) AS BIGINT) AS n_fraud, CAST(sum(abuse_label) AS BIGINT) AS n_abuse FROM px GROUP BY 1"),
         "time_split": with_views("ord", "SELECT order_id, CASE WHEN event_ts < (SELECT max(event_ts) - INTERVAL '7' DAY FROM ord) THEN 'train' ELSE 'test' END AS side FROM ord"),
-        "stratified_sample": d(*two(SAMPLE)),
+        "stratified_sample": d(*two(_sample(200))),
         "random_cap": with_views("ord", "SELECT order_id FROM ord ORDER BY md5(CAST(order_id AS VARCHAR) || '|42'), order_id LIMIT 100"),
-        "history_lookback": with_views("hist", "SELECT market, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents FROM hist WHERE event_ts >= (SELECT max(event_ts) - INTERVAL '10' DAY FROM hist) GROUP BY 1"),
-        "history_pruned": with_views("ord dev", "mine AS (SELECT DISTINCT user_id FROM (SELECT user_id FROM ord ORDER BY md5(CAST(order_id AS VARCHAR) || '|42'), order_id LIMIT 20))", "near AS (SELECT user_id FROM dev WHERE device_id IN (SELECT device_id FROM dev WHERE user_id IN (SELECT user_id FROM mine)))", "SELECT order_id FROM hist WHERE user_id IN (SELECT user_id FROM mine UNION SELECT user_id FROM near)"),
+        "history_lookback": with_views("hist", "SELECT market, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents FROM hist WHERE event_ts >= (SELECT max(event_ts) - INTERVAL '180' DAY FROM hist) GROUP BY 1"),
+        "history_pruned": with_views("ord dev", "mine AS (SELECT DISTINCT user_id FROM (SELECT user_id FROM ord ORDER BY md5(CAST(order_id AS VARCHAR) || '|42'), order_id LIMIT 5000))", "near AS (SELECT user_id FROM dev WHERE device_id IN (SELECT device_id FROM dev WHERE user_id IN (SELECT user_id FROM mine)))", "SELECT order_id FROM hist WHERE user_id IN (SELECT user_id FROM mine UNION SELECT user_id FROM near)"),
         "review_sample": with_views("disp", f"r AS (SELECT *, disposition IN {labels.HARD} AS h, row_number() OVER (PARTITION BY disposition IN {labels.HARD} ORDER BY md5(CAST(order_id AS VARCHAR) || '|' || disposition || '|42'), order_id) AS k FROM disp)", "c AS (SELECT least(count(CASE WHEN h THEN 1 END), 25) AS nh FROM r)", "SELECT order_id, disposition, 'pending_review' AS qa_status FROM r, c WHERE k <= CASE WHEN h THEN nh ELSE 50 - nh END"),
-        "training_frame": with_views(ALL, *DISP, *FEATURE_PARTS, "sm AS (WITH " + SAMPLE + ")", "SELECT f.order_id, round(f.user_refund_rate_30d, 6) AS user_refund_rate_30d, s.abuse_label FROM feat f JOIN sm s ON s.order_id = f.order_id"),
+        "training_frame": with_views(ALL, *DISP, *FEATURE_PARTS, "sm AS (WITH " + _sample(5000) + ")", "SELECT f.order_id, round(f.user_refund_rate_30d, 6) AS user_refund_rate_30d, s.abuse_label FROM feat f JOIN sm s ON s.order_id = f.order_id"),
     }

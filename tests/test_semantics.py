@@ -92,3 +92,12 @@ def test_votes(spark, votes, label):
     df = spark.createDataFrame([("o",)], "order_id string")
     got = labels.weak_labels(df, {f"v{i}": F.lit(v).cast("int") for i, v in enumerate(votes)}).first()
     assert got.weak_label == label
+
+
+def test_lookback_and_pruning_cut_the_history(spark):
+    hist = spark.createDataFrame([(i, i % 4, day(i)) for i in range(20)], "order_id long, user_id long, event_ts timestamp")
+    assert {r.order_id for r in labels.lookback(hist, 5).collect()} == {14, 15, 16, 17, 18, 19}
+    assert {r.order_id for r in labels.lookback(hist, 5, day(10)).collect()} == {5, 6, 7, 8, 9, 10}
+    devices = spark.createDataFrame([(1, 0), (1, 1), (2, 2), (3, 3)], "device_id long, user_id long")
+    kept = labels.prune_history(hist, hist.where("order_id = 0"), devices)
+    assert {r.user_id for r in kept.collect()} == {0, 1}
