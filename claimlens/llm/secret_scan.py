@@ -2,8 +2,10 @@
 
 Three plain patterns (`assign`, `access`, `hex`) are reported as they match. The other kinds are reported
 only once their structure holds: base64 or hex candidates are decoded, and what comes out must be a private
-key whose nested lengths add up exactly (DER as in PKCS#1, PKCS#8 or SEC 1, or the OpenSSH container), or a
-signed token whose header and claims are JSON and whose header names an algorithm.
+key whose nested lengths add up exactly (DER as in PKCS#1, PKCS#8 with the key inside it, or SEC 1, or the OpenSSH
+container), or a signed token whose header and claims are JSON and whose header names an algorithm. Armoured keys may
+have escaped line breaks, as in JSON, or be encrypted with the cipher named in their headers. Base64 is also joined over
+lines, and a key glued to other letters of its alphabet is cut out by the length that its first bytes give.
 
 Each text is scanned whole and by itself, so the work is one pass over the table without a shuffle.
 
@@ -32,13 +34,21 @@ BASE = KINDS[:3]
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s:,]|-(?!----)|\\[nrt])+)-----END \1-----")
+BREAK = re.compile(r"\\[nrt]|\s")
+CIPHER = re.compile(r"Proc-Type:\s*4,ENCRYPTED(?:\s|\\[nr])+DEK-Info:\s*[A-Z0-9-]+,([0-9A-Fa-f]+)(?:\s|\\[nr])+")
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]+)\.(e[wy3][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 KEY64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 KEYHEX = re.compile(r"[0-9a-fA-F]{64,}")
+LINES = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}+(?:(?:\r?\n|\\n)[A-Za-z0-9+/]++)++={0,2}")
+#: How a DER sequence may begin in base64 and in hex.
+SEQ64 = re.compile(r"(?=M[A-Za-z0-9+/_-]{11})")
+SEQHEX = re.compile(r"(?=30[0-9a-f]{16})", re.IGNORECASE)
 
 #: How OpenSSH marks its own private key files.
 OPENSSH = b"openssh-key-v1\0"
+#: Object identifiers of the algorithms whose keys are sequences of their own: rsaEncryption and ecPublicKey.
+RSA, EC = bytes.fromhex("2a864886f70d010101"), bytes.fromhex("2a8648ce3d0201")
 
 
 def unbase64(text: str) -> bytes | None:
@@ -86,8 +96,10 @@ def is_der_key(data: bytes) -> bool:
         if tags[1] == 0x04 and len(items[1][1]) >= 16:
             return all(t in (0xA0, 0xA1) and der_items(c) for t, c in items[2:])
         if len(tags) >= 3 and tags[1] == 0x30 and tags[2] == 0x04:
-            algorithm = der_items(items[1][1])
-            return bool(algorithm) and algorithm[0][0] == 0x06
+            algorithm, inner = der_items(items[1][1]), der_items(items[2][1])
+            if not algorithm or algorithm[0][0] != 0x06 or not inner:
+                return False
+            return is_der_key(items[2][1]) if algorithm[0][1] in (RSA, EC) else True
     if tags == [0x30, 0x04]:
         algorithm = der_items(items[0][1])
         return bool(algorithm) and algorithm[0][0] == 0x06 and len(items[1][1]) >= 32
@@ -117,6 +129,57 @@ def is_key(data: bytes | None) -> bool:
     return bool(data) and (is_der_key(data) or is_openssh_key(data))
 
 
+def is_armoured(body: str) -> bool:
+    """What stands between the lines of an armour: a key, or blocks of the cipher that its headers name."""
+    head = CIPHER.search(body)
+    data = unbase64(BREAK.sub("", body[head.end() :] if head else body))
+    if head is None:
+        return is_key(data)
+    size = len(head[1]) // 2
+    return bool(data) and len(head[1]) % 2 == 0 and size in (8, 16) and len(data) % size == 0
+
+
+def sequence_size(first: bytes) -> int | None:
+    """Bytes of the DER sequence that begins so, if a version number or another sequence leads it; else None."""
+    if len(first) < 9 or first[0] != 0x30:
+        return None
+    n = first[1] & 0x7F if first[1] & 0x80 else 0
+    if n > 2 or first[1] == 0x80:
+        return None
+    body = first[2 + n :]
+    if not (body[0] == 0x30 or body[0] == 0x02 and body[1] == 1 and body[2] <= 1):
+        return None
+    return 2 + n + (int.from_bytes(first[2 : 2 + n], "big") if n else first[1])
+
+
+def keys_within(run: str, starts: re.Pattern, decode, first: int, per: tuple[int, int]) -> list[tuple[int, int]]:
+    """(start, end) of keys inside a run of letters: each start is read as far as its own length says, left to right."""
+    out, at = [], 0
+    for m in starts.finditer(run):
+        k = m.start()
+        size = sequence_size(decode(run[k : k + first]) or b"") if k >= at else None
+        if size is None:
+            continue
+        letters = -(-size * per[0] // per[1])
+        data = decode(run[k : k + letters]) if k + letters <= len(run) else None
+        if data and is_der_key(data[:size]):
+            at = k + letters
+            out.append((k, at))
+    return out
+
+
+def unhex(text: str) -> bytes | None:
+    return bytes.fromhex(text) if len(text) % 2 == 0 else None
+
+
+def keys64(run: str) -> list[tuple[int, int]]:
+    return [(0, len(run))] if is_key(unbase64(run)) else keys_within(run, SEQ64, unbase64, 12, (4, 3))
+
+
+def keyshex(run: str) -> list[tuple[int, int]]:
+    return [(0, len(run))] if is_key(unhex(run)) else keys_within(run, SEQHEX, unhex, 18, (2, 1))
+
+
 def is_token(head: str, claims: str) -> bool:
     try:
         header, body = (json.loads(unbase64(x) or b"") for x in (head, claims))
@@ -138,14 +201,18 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     if "PRIVATE KEY-----" in text:
         for m in PEM.finditer(text):
-            if is_key(unbase64("".join(m[2].split()))):
+            if is_armoured(m[2]):
                 found.append(("pem", *m.span()))
-    if "eyJ" in text:
+    if ".e" in text:
         found += [("token", *m.span()) for m in TOKEN.finditer(text) if is_token(m[1], m[2])]
-    found += [("key64", *m.span()) for m in KEY64.finditer(text) if is_key(unbase64(m[0]))]
-    for m in KEYHEX.finditer(text):
-        if len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
-            found.append(("keyhex", *m.span()))
+    runs = [(m.start(), m[0]) for m in KEY64.finditer(text)]
+    found += [("key64", at + i, at + j) for at, run in runs for i, j in keys64(run)]
+    if runs:
+        taken = [f[1:] for f in found if f[0] in ("pem", "key64")]
+        for m in LINES.finditer(text):
+            if not any(i < m.end() and m.start() < j for i, j in taken) and is_key(unbase64(BREAK.sub("", m[0]))):
+                found.append(("key64", *m.span()))
+    found += [("keyhex", m.start() + i, m.start() + j) for m in KEYHEX.finditer(text) for i, j in keyshex(m[0])]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

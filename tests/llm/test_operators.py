@@ -5,6 +5,7 @@ import hashlib
 import json
 import os
 import random
+import re
 import zlib
 
 import numpy as np
@@ -339,6 +340,57 @@ def test_secrets_are_confirmed_by_structure():
     assert kinds("AKIA" + "A" * 15) == [] and kinds("AKIA" + "A" * 16) == ["access"]
 
 
+def test_keys_in_other_dress():
+    """Escaped and encrypted armour, keys glued to their surroundings, wrapped lines, keys within keys and spaced tokens."""
+    integer = lambda i: der(2, bytes([0]) if i == 0 else bytes([1]) + bytes(range(40)))
+    key = der(0x30, b"".join(integer(i) for i in range(9)))
+    plain = lambda inner, oid: der(0x30, der(2, b"\0") + der(0x30, der(6, oid) + der(5, b"")) + der(4, inner))
+    b64 = lambda x: base64.b64encode(x).decode()
+    spans = secret_scan.scan
+    kinds = lambda t: [s[0] for s in spans(t)]
+    assert secret_scan.is_der_key(plain(key, secret_scan.RSA)) and not secret_scan.is_der_key(plain(key[:-1], secret_scan.RSA))
+    assert not secret_scan.is_der_key(plain(der(0x30, integer(1)), secret_scan.RSA))
+    assert secret_scan.is_der_key(plain(der(4, bytes(32)), bytes.fromhex("2b6570"))) and not secret_scan.is_der_key(plain(bytes(range(1, 33)), bytes.fromhex("2b6570")))
+    body = b64(key)
+    lines = [body[i : i + 64] for i in range(0, len(body), 64)]
+    armour = lambda x: f"-----BEGIN RSA PRIVATE KEY-----{x}-----END RSA PRIVATE KEY-----"
+    escaped = armour("\\n" + "\\n".join(lines) + "\\n")
+    assert spans(f'{{"k": "{escaped}"}}') == [("pem", 7, 7 + len(escaped))]
+    sealed = lambda iv, n: armour(f"\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{iv}\n\n{b64(bytes(n))}\n")
+    assert kinds(sealed("0A" * 16, 64)) == ["pem"] and kinds(sealed("0A" * 16, 60)) == [] and kinds(sealed("0A" * 5, 65)) == []
+    assert spans("\n".join(lines)) == [("key64", 0, len(body) + len(lines) - 1)] and spans("\n".join(lines[:-1])) == []
+    glued = body.rstrip("=")
+    assert spans(f"a/b_{glued}-tail") == [("key64", 4, 4 + len(glued))]
+    assert ("keyhex", 3, 3 + 2 * len(key)) in spans("abc" + key.hex() + "ff")
+    assert kinds("MIIM" * 20000) == [] and kinds("30" * 40000) == ["hex"]
+    part = lambda x: base64.urlsafe_b64encode(x.encode()).decode().rstrip("=")
+    spaced = part('{ "alg": "none" }') + "." + part('{\n "sub": 1}') + ".sig"
+    assert kinds(f"t {spaced}") == ["token"]
+
+
+def test_secret_query_against_plain_patterns(spark, tmp_path, empty):
+    """Base counts, digests and whole spans of op6 on nulls, blanks, repeats and long texts, by a scan written apart."""
+    r = random.Random(6)
+    bits = ["password = 'hunter2hunter2'", "API_KEY:abc", "apikey=>x", 'x-api-key: "Zm9vYmFyYmF6"', "TOKEN  =   a.b.c-d_e", "AKIA" + "Q7" * 9, "AKIAshort", "deadbeef" * 4, "DEADBEEF" * 4, "0123456789abcdef0123456", "é", "secret:\tnope", "passwd=ſecret", "ſecret=abcdefgh", "\n"]
+    texts = [" ".join(r.choice(bits) for _ in range(r.randint(1, 12))) for _ in range(60)] + [None, "", " ", "é" * 5000 + " secret=" + "z" * 9000]
+    rows = [(i, t, "en", "a", 0, "x") for i, t in enumerate(texts)] + [(0, texts[0], "en", "a", 0, "y")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, spans string"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    fixed = [("assign", r"""(?ia:password|passwd|secret|token|api_?key)["']?[ ]*[:=][ ]*["']?([A-Za-z0-9+/_.=-]+)""", 6, 1), ("access", r"(AKIA[A-Z0-9]+)", 20, 1), ("hex", r"([0-9a-f]+)", 24, 1)]
+    got = sorted(secret_scan.op6(spark, str(tmp_path)).collect(), key=lambda x: x.doc_id)
+    assert len(got) == len(rows) and got[0] == got[1]
+    for x in got:
+        t, found = texts[x.doc_id] or "", []
+        for rank, (kind, pattern, least, g) in enumerate(fixed):
+            hits = [m for m in re.finditer(pattern, t) if len(m[g]) >= least]
+            assert x[f"n_{kind}"] == len(hits)
+            found += [(m.start(), rank, kind, m.end()) for m in hits]
+        text = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(found))
+        assert x.base_sha256 == hashlib.sha256(text.encode()).hexdigest() and x.spans == text, x.doc_id
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert secret_scan.op6(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_gif_round_trip_and_rules():
     for data in (b"", b"a" * 192 * 1500, os.urandom(192 * 1100), "日本語 text\n".encode() * 999):
         p = data + b" " * (max(1, -(-len(data) // 192)) * 192 - len(data))
