@@ -83,6 +83,13 @@ class Words:
         return np.repeat(np.arange(self.last - self.first), np.diff(self.offsets))
 
 
+def slices(batches, rows: int = 512) -> Iterator:
+    """Arrow batches in pieces of so many rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def chunks(texts: list, limit: int = CHUNK) -> Iterator[tuple[int, int, list[bytes]]]:
     """Consecutive texts (str, bytes or None) as UTF-8, together up to about `limit` bytes."""
     own, first, size = [], 0, 0

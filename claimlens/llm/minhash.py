@@ -71,7 +71,7 @@ def signatures(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     multipliers = np.random.default_rng(97).integers(1, 1 << 62, 2 * side * group, np.uint64) * np.uint64(2) + np.uint64(1)
 
     def work(batches):
-        for batch in batches:
+        for batch in hashing.slices(batches):
             n_rows = batch.num_rows
             count, sums = np.zeros(n_rows, np.int64), np.zeros((2, n_rows), np.uint64)
             groups = np.zeros((2 * side, n_rows), np.uint64)
@@ -125,23 +125,21 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, led: bo
         return out
 
     def work(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                rows = []
-                for p, q in zip(sets(batch.column(2)), sets(batch.column(3)), strict=True):
-                    lost = np.isin(p, q, assume_unique=True, invert=True)
-                    shared = len(p) - int(lost.sum())
-                    linked = shared > 0 and 100 * shared >= percent * (len(p) + len(q) - shared)
-                    d = len(p) + len(q) - 2 * shared
-                    short, long, elements = 0, 0, []
-                    if led:
-                        short, long = needs(d, len(q), len(p), linked, c)
-                        elements = np.concatenate([q[np.isin(q, p, assume_unique=True, invert=True)], p[lost]]).view(np.int64)
-                    version = int((p.sum() ^ q.sum()).view(np.int64)) if len(p) and len(q) else 0  # a doc_id may have several texts
-                    rows.append((linked, version, len(q), d, short, long, elements))
-                cols = [pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.bool_(), *[pa.int64()] * 5, pa.list_(pa.int64())))]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["a", "b", "linked", "version", "n", "d", "short", "long", "elements"])
+        for batch in hashing.slices(batches, 256):
+            rows = []
+            for p, q in zip(sets(batch.column(2)), sets(batch.column(3)), strict=True):
+                lost = np.isin(p, q, assume_unique=True, invert=True)
+                shared = len(p) - int(lost.sum())
+                linked = shared > 0 and 100 * shared >= percent * (len(p) + len(q) - shared)
+                d = len(p) + len(q) - 2 * shared
+                short, long, elements = 0, 0, []
+                if led:
+                    short, long = needs(d, len(q), len(p), linked, c)
+                    elements = np.concatenate([q[np.isin(q, p, assume_unique=True, invert=True)], p[lost]]).view(np.int64)
+                version = int((p.sum() ^ q.sum()).view(np.int64)) if len(p) and len(q) else 0  # a doc_id may have several texts
+                rows.append((linked, version, len(q), d, short, long, elements))
+            cols = [pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.bool_(), *[pa.int64()] * 5, pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["a", "b", "linked", "version", "n", "d", "short", "long", "elements"])
 
     return both.mapInArrow(work, "a bigint, b bigint, linked boolean, version bigint, n bigint, d bigint, short bigint, long bigint, elements array<bigint>")
 

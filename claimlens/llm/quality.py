@@ -16,14 +16,17 @@ other columns of the inputs are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens.llm.common import table
+from claimlens.llm.hashing import slices
 
 BITS = 18
 ORDERS = (1, 2, 3)
@@ -31,6 +34,8 @@ ORDERS = (1, 2, 3)
 PER_CLASS = 6000
 COST = 10.0
 EPOCHS = 15
+#: Numbers in one piece of memory, which goes back to the system as a whole.
+BLOCK = 1 << 23
 THRESHOLD = 0.3
 
 
@@ -58,12 +63,35 @@ class Grams:
         return found.astype(np.int32)
 
 
+def packed(arrays: Iterable[np.ndarray], block: int = BLOCK) -> list[np.ndarray]:
+    """The same arrays as views of a few long ones."""
+    out: list[np.ndarray] = []
+    held: list[np.ndarray] = []
+
+    def close() -> None:
+        if held:
+            out.extend(np.split(np.concatenate(held), np.cumsum([len(a) for a in held[:-1]])) if len(held) > 1 else held)
+            held.clear()
+
+    size = 0
+    for a in arrays:
+        held.append(a)
+        size += len(a)
+        if size >= block:
+            close()
+            size = 0
+    close()
+    return out
+
+
 def log_ratios(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
     """log of (smoothed share of each feature in class 1) / (in class 0)."""
     share = []
     for c in (1, 0):
-        own = [r for r, y in zip(rows, labels, strict=True) if y == c]
-        count = 1.0 + np.bincount(np.concatenate(own), minlength=size)
+        count = np.ones(size)
+        for r, y in zip(rows, labels, strict=True):
+            if y == c:
+                count[r] += 1  # a row's features are distinct
         share.append(np.log(count / count.sum()))
     return share[0] - share[1]
 
@@ -77,7 +105,7 @@ def descend(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, cost
     """Weights and bias of min |w|^2/2 + cost * sum of hinge losses, by dual coordinate descent."""
     w, bias, alpha = np.zeros(len(ratios)), 0.0, np.zeros(len(rows))
     sign = np.where(labels == 1, 1.0, -1.0)
-    values = [scaled(r, ratios) for r in rows]
+    values = packed(scaled(r, ratios) for r in rows)
     square = np.array([v @ v + 1.0 for v in values])
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
@@ -112,12 +140,10 @@ def logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(beta[0]), float(beta[1])
 
 
-def fit(texts: list[str | None], labels: np.ndarray) -> dict:
-    """The model: per feature weight * ratio and ratio squared, the bias, and the logistic curve."""
+def fit(rows: list[np.ndarray], labels: np.ndarray) -> dict:
+    """The model of rows of features: per feature weight * ratio and ratio squared, the bias, and the logistic curve."""
     if len(set(labels.tolist())) < 2:
         return {"prior": float(labels.mean()) if len(labels) else 0.5}
-    grams = Grams()
-    rows = [grams(t) for t in texts]
     # a curve for the margins, from models that haven't seen the rows they are judged on
     folds, margins = np.arange(len(rows)) % 2, np.zeros(len(rows))
     for f in (0, 1):
@@ -154,28 +180,40 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dic
     rows = docs.select("doc_id", "text").join(F.broadcast(some[0].unionByName(some[1])), "doc_id")
 
     def work(batches):
-        got = pd.concat([pd.DataFrame({"doc_id": pd.Series(dtype="int64"), "text": pd.Series(dtype=object), "_y": pd.Series(dtype="int64")}), *batches])
-        got = got.assign(_h=pd.util.hash_array(got["doc_id"].to_numpy())).sort_values(["_h", "doc_id"], kind="stable")
-        model = fit(got["text"].tolist(), got["_y"].to_numpy().astype(np.int64))
-        parts = {"weights": model["weights"].tobytes(), "squares": model["squares"].tobytes()} if "weights" in model else {}
-        yield pd.DataFrame([{"prior": model.get("prior"), "bias": model.get("bias"), "slope": model.get("curve", (None,))[0], "offset": model.get("curve", (None, None))[1], "weights": parts.get("weights"), "squares": parts.get("squares")}])
-
-    got = rows.select("doc_id", "text", "_y").repartition(1).mapInPandas(work, "prior double, bias double, slope double, offset double, weights binary, squares binary").collect()
+        grams, known = Grams(), []
+
+        def features():
+            for batch in slices(batches):
+                known.extend(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True))
+                yield from map(grams, batch.column(1).to_pylist())
+
+        own = packed(features())
+        order = sorted(range(len(own)), key=known.__getitem__)
+        model = fit([own[i] for i in order], np.array([known[i][1] for i in order], np.int64))
+        slope, offset = model.get("curve", (None, None))
+        parts = [model[k].tobytes() if k in model else None for k in ("weights", "squares")]
+        cols = [*(pa.array([x], pa.float64()) for x in (model.get("prior"), model.get("bias"), slope, offset)), *(pa.array([x], pa.binary()) for x in parts)]
+        yield pa.RecordBatch.from_arrays(cols, names=["prior", "bias", "slope", "offset", "weights", "squares"])
+
+    few = rows.select(F.xxhash64(F.lit(13), "doc_id", F.coalesce("text", F.lit(""))).alias("_h"), "text", "_y").repartition(1)
+    got = few.mapInArrow(work, "prior double, bias double, slope double, offset double, weights binary, squares binary").collect()
     if not got or got[0]["prior"] is not None:  # without rows there may be no task
         return {"prior": got[0]["prior"] if got else 0.5}
     r = got[0]
     return {"weights": np.frombuffer(r["weights"], np.float32), "squares": np.frombuffer(r["squares"], np.float32), "bias": r["bias"], "curve": (r["slope"], r["offset"])}
 
 
-def scored(docs: DataFrame, model: dict) -> DataFrame:
-    """docs with a column `_score`."""
+def scored(docs: DataFrame, model: dict, within: str | None = None) -> DataFrame:
+    """docs with a column `_score`; the text is a column, or a field of the struct `within`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    at = docs.columns.index(within or "text")
 
     def work(batches):
         grams = Grams()
-        for batch in batches:
-            s = pa.array([score(shared.value, grams(t)) for t in batch.column(at).to_pylist()], pa.float64())
+        for batch in slices(batches):
+            own = batch.column(at)
+            texts = pc.struct_field(own, "text") if within else own
+            s = pa.array([score(shared.value, grams(t)) for t in texts.to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, s], names=[*batch.schema.names, "_score"])
 
     return docs.mapInArrow(work, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))

@@ -432,6 +432,37 @@ def test_quality_learns_and_handles_edges(spark, empty):
     assert none == {"prior": 1.0} and quality.train(empty, labels)["prior"] == 0.5
 
 
+def test_quality_fit_against_a_plain_solver(spark):
+    """Log-count ratios by counting, the hinge optimum by its dual gap, and the score of a text within a struct."""
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(5)
+    labels = np.arange(80) % 2
+    rows = [np.unique(r.integers(0, 30, 8) + 12 * y).astype(np.int32) for y in labels]
+    ratios = quality.log_ratios(rows, labels, 64)
+    share = [[1 + sum(j in x for x, y in zip(rows, labels) if y == c) for j in range(64)] for c in (0, 1)]
+    assert ratios == pytest.approx([np.log(b / sum(share[1])) - np.log(a / sum(share[0])) for a, b in zip(*share)])
+    w, bias = quality.descend(rows, labels, ratios, cost=0.5, epochs=3000)
+    x = np.zeros((80, 65))
+    for i, row in enumerate(rows):
+        x[i, row] = quality.scaled(row, ratios)
+        x[i, 64] = 1.0
+    loss = lambda v: v @ v / 2 + 0.5 * np.maximum(0, 1 - (2 * labels - 1) * (x @ v)).sum()
+    best = np.append(w, bias)
+    assert all(loss(best) <= loss(best + d) * 1.001 for d in r.normal(0, 0.05, (300, 65)))
+    v = np.zeros(65)
+    for k in range(20000):  # subgradient steps from nothing come as low, and no lower
+        g = v - 0.5 * ((2 * labels - 1) * ((2 * labels - 1) * (x @ v) < 1)) @ x
+        v = v - g / (k + 10)
+    assert loss(best) <= loss(v) * 1.001  # the descent ends when no step is above a thousandth
+    for block in (1, 7, 1000):
+        assert all(np.array_equal(a, b) for a, b in zip(quality.packed(rows, block), rows, strict=True))
+    docs = spark.createDataFrame([(1, "good words"), (2, None)], "doc_id long, text string")
+    model = {"weights": np.ones(1 << quality.BITS, np.float32), "squares": np.ones(1 << quality.BITS, np.float32), "bias": 0.1, "curve": (1.0, 0.0)}
+    plain = {x.doc_id: x._score for x in quality.scored(docs, model).collect()}
+    assert {x.row.doc_id: x._score for x in quality.scored(docs.select(F.struct("*").alias("row")), model, "row").collect()} == plain
+
+
 def brute_interpolation(rows, folds=10, rounds=interpolation.ROUNDS):
     """Base and model scores by plain counting: EM on one training fold, each document against the corpus without itself."""
     import collections
