@@ -38,7 +38,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is the classifier's threshold at least. Null and empty texts are scored like any
     (by the bias alone); repeated rows are judged alike; an empty table stays empty."""
     model = quality.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    rated = quality.scored(packed(docs), model)
+    # in the struct alone, so that a text goes to Python and back once
+    rated = quality.scored(packed(docs).select("row"), model, "row")
     return rated.where(F.col("_score") >= quality.THRESHOLD).select("row.*")
 
 
