@@ -37,7 +37,7 @@ WITH RECURSIVE walk(prefix, step, applied, mask, letter, removed, redundant, alo
          CASE WHEN (w.mask & l.bit) <> 0 AND (w.mask & w.applied) <> 0 THEN 1 ELSE 0 END,
          CASE WHEN w.mask = l.bit THEN 1 ELSE 0 END,
          CASE WHEN (w.mask & (w.applied | l.bit)) = 0 THEN 1 ELSE 0 END
-  FROM walk w JOIN {letters} l ON (w.applied & l.bit) = 0
+  FROM walk w JOIN {unused} l ON w.applied = l.applied
 )
 SELECT prefix, step, letter, mask, removed, redundant, alone, kept FROM walk WHERE step > 0
 """
@@ -81,8 +81,8 @@ def cells(rows: DataFrame) -> DataFrame:
 def walk(spark, letters: str) -> DataFrame:
     """For every prefix of distinct letters and every mask what the prefix's last filter does to documents of that mask."""
     masks = spark.range(1 << len(letters)).select(F.col("id").cast("int").alias("mask"))
-    bits = spark.createDataFrame([(k, 1 << i) for i, k in enumerate(letters)], "name string, bit int")
-    return spark.sql(_WALK, masks=masks, letters=bits)
+    unused = [(a, k, 1 << i) for a in range(1 << len(letters)) for i, k in enumerate(letters) if not a >> i & 1]
+    return spark.sql(_WALK, masks=masks, unused=spark.createDataFrame(unused, "applied int, name string, bit int"))
 
 
 def orders(spark, letters: str) -> DataFrame:
