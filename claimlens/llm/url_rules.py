@@ -110,7 +110,8 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, la
         source = with_parts(labelled.where("url is not null and verdict is not null").select("url", "verdict")).select("url", "tokens", "verdict")
     index, known = mine(source)
     rows = rows.withColumn("known", F.when(F.col("given").isNull(), F.filter("tokens", lambda t: t.isin(known) if known else F.lit(False))))
-    best = matched(rows.where("size(known) > 0").select("known").distinct(), index).withColumnRenamed("known", "_known")
+    # written, so that Spark broadcasts it if it is small and splits URLs of a common set if it isn't
+    best = saved(matched(rows.where("size(known) > 0").select("known").distinct(), index)).withColumnRenamed("known", "_known")
     out = rows.join(best, F.col("known") == F.col("_known"), "left")
     return out.select("page_id", "host", "path", "rule", F.coalesce("given", "best.verdict", F.lit(default)).alias("verdict"), F.array_join("best.items", " & ").alias("mined"), F.round("best.confidence", 6).alias("confidence"))
 
