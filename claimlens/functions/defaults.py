@@ -92,3 +92,8 @@ SDK_SOURCES = {"device": ["device", "device_intelligence", "fingerprint", "shiel
 
 # Floors of an out-of-time evaluation.
 OOT_FLOORS = {"min_holdout_n": 30, "min_proven_positives": 3, "min_fraud_proven_average_precision": 0.20, "min_fraud_proven_precision_at_soft": 0.10, "max_decision_ece": 0.35}
+
+# Curves per slice, multi-pass training, edge reconstruction.
+CALIBRATION = {"min_n": 40, "min_pos": 5, "steps": 8}
+MULTIPASS = {"passes": 10, "delta": 0.05, "patience": 2, "self_train": 80.0}
+RECONSTRUCTION = {"alpha": 1.0, "edge_z": 2.5, "node_z": 2.5, "structure": 0.25, "proposals": 50}

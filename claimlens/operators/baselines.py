@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions import defaults as D
+from claimlens.operators.ranks import running
 
 KEY = ["entity_key", "market", "vertical"]
 DAY = 86_400_000_000
@@ -36,7 +37,7 @@ def mean_of(a: Column) -> Column:
 def baseline_history(observations: DataFrame, cfg: dict = D.BASELINE) -> DataFrame:
     """One row per observation with the baseline after it."""
     c = cfg
-    rows = observations.withColumns({"_t": F.unix_micros("event_ts"), "under_threshold": F.when(F.col("score_head") == "fraud", c["under_fraud"]).otherwise(c["under_abuse"])})
+    rows = observations.withColumns({"_t": F.unix_micros("event_ts"), "under_threshold": under_threshold(c)})
     seq = Window.partitionBy(*KEY).orderBy("_t", "order_id")
     # rows up to this one, then those of the last days, then the last events: same-instant rows keep their order
     recent = F.collect_list(F.struct("_t", "score")).over(seq.rowsBetween(-(c["events"] - 1), Window.currentRow))
@@ -70,18 +71,40 @@ def tenure_bucket(days: Column, cfg: dict = D.BASELINE) -> Column:
     return F.when(days < cfg["new_days"], "new").when(days < cfg["mid_days"], "mid").otherwise("mature")
 
 
-def cohort_history(scored: DataFrame, cfg: dict = D.BASELINE) -> DataFrame:
+COHORT = ["market", "vertical", "tenure_bucket", "score_head"]
+#: Rows of a cohort that one window task takes, besides the overlap.
+BLOCK = 20_000
+
+
+def cohort_rows(scored: DataFrame, cfg: dict = D.BASELINE, settled: bool = True) -> DataFrame:
+    """order_id, event_ts, cohort and score of each order and head; of settled orders only, unless told otherwise."""
+    bucket = tenure_bucket(F.col("user_days_since_signup"), cfg)
+    rows = scored.where(F.lower("status").isin(*cfg["settled"])) if settled else scored
+    heads = F.explode(F.array(*[F.struct(F.lit(h).alias("score_head"), F.col(f"{h}_score").alias("score")) for h in ("abuse", "fraud")])).alias("_x")
+    return rows.select("order_id", "event_ts", "market", "vertical", bucket.alias("tenure_bucket"), heads).select("order_id", "event_ts", "market", "vertical", "tenure_bucket", "_x.*")
+
+
+def cohort_history(scored: DataFrame, cfg: dict = D.BASELINE, block: int = BLOCK) -> DataFrame:
     """order_id, score_head and the cohort of market, vertical, tenure and head after the order: n, mean, p50, p90
-    over its last events."""
-    bucket = tenure_bucket(F.col("user_days_since_signup"))
-    rows = scored.where(F.lower("status").isin(*cfg["settled"])).select("order_id", "event_ts", "market", "vertical", bucket.alias("tenure_bucket"), F.explode(F.array(*[F.struct(F.lit(h).alias("score_head"), F.col(f"{h}_score").alias("score")) for h in ("abuse", "fraud")])).alias("_x")).select("order_id", "event_ts", "market", "vertical", "tenure_bucket", "_x.*")
-    seq = Window.partitionBy("market", "vertical", "tenure_bucket", "score_head").orderBy("event_ts", "order_id").rowsBetween(-(cfg["cohort_events"] - 1), Window.currentRow)
-    rows = rows.withColumn("_a", F.collect_list("score").over(seq))
+    over its last events.
+
+    There are a few dozen cohorts, whatever the number of orders, so a cohort is cut into blocks by exact ranks of time;
+    a block begins with the rows that the window of its first row reaches back to."""
+    back = cfg["cohort_events"] - 1
+    ranked = running(cohort_rows(scored, cfg), COHORT, [F.col("event_ts"), F.col("order_id")], name="_n")
+    own = F.floor((F.col("_n") - 1) / block)
+    later = F.floor((F.col("_n") - 1 + back) / block)
+    rows = ranked.select("*", own.alias("_own"), F.explode(F.sequence(own, later)).alias("_block"))
+    seq = Window.partitionBy(*COHORT, "_block").orderBy("_n").rowsBetween(-back, Window.currentRow)
+    rows = rows.withColumn("_a", F.collect_list("score").over(seq)).where("_block = _own")
     rows = rows.withColumn("_z", F.array_sort("_a"))
     p50, p90 = positional(F.col("_z"))
-    out = rows.select("order_id", "event_ts", "market", "vertical", "tenure_bucket", "score_head", "score", F.size("_a").alias("cohort_n"), mean_of(F.col("_a")).alias("cohort_mean"), p50.alias("cohort_p50"), p90.alias("cohort_p90"))
-    lift = F.when(F.col("cohort_n") >= cfg["cohort_support"], F.col("score") / F.greatest("cohort_p50", F.lit(1e-6))).otherwise(F.lit(1.0))
-    return out.withColumn("cohort_lift", lift)
+    out = rows.select("order_id", "event_ts", *COHORT, "score", F.size("_a").alias("cohort_n"), mean_of(F.col("_a")).alias("cohort_mean"), p50.alias("cohort_p50"), p90.alias("cohort_p90"))
+    return out.withColumn("cohort_lift", cohort_lift(cfg))
+
+
+def cohort_lift(cfg: dict = D.BASELINE) -> Column:
+    return F.when(F.col("cohort_n") >= cfg["cohort_support"], F.col("score") / F.greatest("cohort_p50", F.lit(1e-6))).otherwise(F.lit(1.0))
 
 
 def discount(lift: Column, delta: Column, min_lift: float, min_delta: float, cfg: dict = D.BASELINE) -> Column:
@@ -89,19 +112,29 @@ def discount(lift: Column, delta: Column, min_lift: float, min_delta: float, cfg
     return F.when((lift < min_lift) & (delta < min_delta), F.lit(0.0)).otherwise(F.least(F.lit(cfg["max_discount"]), part))
 
 
-def signals(history: DataFrame, cohorts: DataFrame, cfg: dict = D.BASELINE) -> DataFrame:
-    """Per order and key: the precision discount by its own baseline or by its cohort, whichever is larger."""
+def under_threshold(cfg: dict = D.BASELINE) -> Column:
+    return F.when(F.col("score_head") == "fraud", cfg["under_fraud"]).otherwise(cfg["under_abuse"])
+
+
+def with_discounts(rows: DataFrame, cfg: dict = D.BASELINE) -> DataFrame:
+    """precision_discount and its source for rows of an order and key with score, support, is_clean, elevated_streak, lift,
+    abs_delta and the cohort's cohort_n, cohort_p50 and cohort_lift: by the key's own baseline or by its cohort,
+    whichever is larger."""
     c = cfg
-    rows = history.join(cohorts.select("order_id", "score_head", "cohort_n", "cohort_p50", "cohort_lift"), ["order_id", "score_head"], "left")
     thin = F.col("entity_kind").isin("ud", "uv", "vd", "uvd") & (F.col("support") < c["pair_min"])
     raw = (F.col("abs_delta") >= c["delta"]) | (F.col("lift") >= c["lift"])
-    own = F.when(thin | ~F.col("is_clean") | (F.col("elevated_streak") < c["streak"]) | ~raw, F.lit(0.0)).otherwise(discount(F.col("lift"), F.col("abs_delta"), c["lift"], c["delta"]))
+    own = F.when(thin | ~F.col("is_clean") | (F.col("elevated_streak") < c["streak"]) | ~raw, F.lit(0.0)).otherwise(discount(F.col("lift"), F.col("abs_delta"), c["lift"], c["delta"], c))
     gap = F.col("score") - F.col("cohort_p50")
-    peer = F.when((F.col("cohort_n") >= c["cohort_support"]) & ((F.col("cohort_lift") >= c["cohort_lift"]) | (gap >= c["cohort_delta"])), discount(F.col("cohort_lift"), gap, c["cohort_lift"], c["cohort_delta"])).otherwise(F.lit(0.0))
+    peer = F.when((F.col("cohort_n") >= c["cohort_support"]) & ((F.col("cohort_lift") >= c["cohort_lift"]) | (gap >= c["cohort_delta"])), discount(F.col("cohort_lift"), gap, c["cohort_lift"], c["cohort_delta"], c)).otherwise(F.lit(0.0))
     rows = rows.withColumns({"_own": own, "_peer": F.coalesce(peer, F.lit(0.0))})
     return rows.withColumns({"precision_discount": F.greatest("_own", "_peer"), "source": F.when(F.col("_peer") > F.col("_own"), "cohort").otherwise("self")}).drop("_own", "_peer")
 
 
+def signals(history: DataFrame, cohorts: DataFrame, cfg: dict = D.BASELINE) -> DataFrame:
+    """Discounts of settled orders by the baselines and cohorts right after them."""
+    return with_discounts(history.join(cohorts.select("order_id", "score_head", "cohort_n", "cohort_p50", "cohort_lift"), ["order_id", "score_head"], "left"), cfg)
+
+
 def baseline_gate(sig: DataFrame, scored: DataFrame, cfg: dict = D.BASELINE) -> DataFrame:
     """Per order: discounts by head, points to relax (capped), the flag for a human, trust credit and evidence codes."""
     c = cfg
@@ -119,11 +152,19 @@ def baseline_gate(sig: DataFrame, scored: DataFrame, cfg: dict = D.BASELINE) ->
     return out.withColumns({"tighten": F.when(F.col("trust_credit"), c["tighten"]).otherwise(0.0), "target_precision": F.greatest(F.lit(0.5), c["target"] - F.greatest("abuse_discount", "fraud_discount")), "baseline_codes": codes}).drop("_u", "_d", "_e", "_c", "abuse_score", "fraud_score")
 
 
-def warp_thresholds(df: DataFrame, gate: DataFrame) -> DataFrame:
-    """The joint ladder lowered by the larger relaxation and raised by the trust credit, within 0 and 100."""
+LEVELS = ("soft_friction", "hold_review", "auto_deny")
+
+
+def warp_thresholds(df: DataFrame, gate: DataFrame, abuse=D.ABUSE_LADDER, fraud=D.FRAUD_LADDER) -> DataFrame:
+    """Ladders lowered by a relaxation and raised by the trust credit, within 0 and 100: the joint one by the larger of both
+    heads' relaxations, each head's own ({head}_soft_friction and so on) by that head's alone."""
     out = df.join(gate.select("order_id", "abuse_relax", "fraud_relax", "tighten"), "order_id", "left")
-    down, up = F.coalesce(F.greatest("abuse_relax", "fraud_relax"), F.lit(0.0)), F.coalesce("tighten", F.lit(0.0))
-    return out.withColumns({k: F.least(F.lit(100.0), F.greatest(F.lit(0.0), F.col(k) - down) + up) for k in ("soft_friction", "hold_review", "auto_deny")}).drop("abuse_relax", "fraud_relax", "tighten")
+    relax = {h: F.coalesce(f"{h}_relax", F.lit(0.0)) for h in ("abuse", "fraud")}
+    up = F.coalesce("tighten", F.lit(0.0))
+    warp = lambda base, down: F.least(F.lit(100.0), F.greatest(F.lit(0.0), base - down) + up)
+    cols = {k: warp(F.col(k), F.greatest(*relax.values())) for k in LEVELS}
+    cols |= {f"{h}_{k}": warp(F.lit(float(v)), relax[h]) for h, ladder in (("abuse", abuse), ("fraud", fraud)) for k, v in zip(LEVELS, ladder, strict=True)}
+    return out.withColumns(cols).drop("abuse_relax", "fraud_relax", "tighten")
 
 
 def baseline_features(keys: DataFrame, baselines: DataFrame, kinds: list[str]) -> DataFrame:
@@ -142,3 +183,17 @@ def export_baselines(baselines: DataFrame, path: str, as_of_date: str, version:
     from claimlens.operators.graph import export_snapshot
 
     export_snapshot(baselines.where("is_clean") if clean_only else baselines, path, as_of_date, version, ["market", "vertical", "entity_kind"])
+
+
+def latest_cohorts(history: DataFrame) -> DataFrame:
+    """Each cohort as its last order left it."""
+    values = ["cohort_n", "cohort_mean", "cohort_p50", "cohort_p90"]
+    last = history.groupBy(*COHORT).agg(F.max_by(F.struct(*values), F.struct("event_ts", "order_id")).alias("_last"))
+    return last.select(*COHORT, *[F.col(f"_last.{v}").alias(v) for v in values])
+
+
+def export_cohorts(cohorts: DataFrame, path: str, as_of_date: str, version: str) -> None:
+    """Standing cohorts by as_of_date, market and vertical; only the partitions it holds are replaced."""
+    from claimlens.operators.graph import export_snapshot
+
+    export_snapshot(cohorts, path, as_of_date, version, ["market", "vertical"])

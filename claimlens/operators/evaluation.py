@@ -133,16 +133,35 @@ def ranked_steps(steps: DataFrame, key: list[str]) -> DataFrame:
     return steps.groupBy(*key).agg(((ranks - p * (p + 1) / 2.0) / F.nullif(p * (n - p), F.lit(0))).alias("auc"), ap.alias("average_precision"))
 
 
+#: Numbers are drawn below this prime, by squaring modulo it (whole numbers only, so that every engine draws the same).
+PRIME = 2_147_483_647
+
+
+def draw(key: Column, turn: Column, seed: int = 0) -> Column:
+    """A number in [0, PRIME) for a whole-numbered key and turn: neighbours in either have nothing to do with each other."""
+    k = F.pmod(key.cast("long"), F.lit(PRIME))
+    x = F.pmod(k * 48271 + turn * 69621 + F.lit(seed + 12345), F.lit(PRIME))
+    x = F.pmod(x * x + turn * 40692 + k, F.lit(PRIME))
+    return F.pmod(x * x + 1, F.lit(PRIME))
+
+
+def poisson_steps(most: int = 11) -> list[float]:
+    """Where the distribution of Poisson(1) steps up: a uniform number is worth as many as it reaches."""
+    out, term, total = [], math.exp(-1), 0.0
+    for k in range(1, most + 1):
+        total += term
+        out.append(total)
+        term /= k
+    return out
+
+
 def bootstrap_precision(df: DataFrame, score: str, label: str, cut: float, rounds: int = 400, seed: int = 0) -> DataFrame:
     """One row: percentile bounds of the precision over `rounds` Poisson resamples of the flagged rows.
 
-    Each row weighs Poisson(1) in each round, by a hash of its order_id and the round, so reruns agree; weights are
-    summed by round and label before anything is shuffled."""
-    u = (F.pmod(F.xxhash64("order_id", "_r", F.lit(seed)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
-    steps, term, total = F.lit(0), math.exp(-1), 0.0
-    for k in range(1, 12):
-        total += term
-        steps, term = steps + (u >= total).cast("int"), term / k
+    Each row weighs Poisson(1) in each round, by a number drawn from its order_id and the round, so reruns agree; weights
+    are summed by round before anything is shuffled."""
+    u = draw(F.col("order_id"), F.col("_r"), seed) / float(PRIME)
+    steps = reduce(lambda a, b: a + b, [(u >= x).cast("int") for x in poisson_steps()])
     flagged = df.where(F.col(score) >= cut).select("order_id", (F.col(label) >= 1).cast("int").alias("_y"))
     weights = flagged.select("order_id", "_y", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("_r")).withColumn("_w", steps)
     per = weights.groupBy("_r").agg((F.sum(F.col("_y") * F.col("_w")) / F.nullif(F.sum("_w"), F.lit(0))).alias("_p"))

@@ -11,6 +11,7 @@ from claimlens.functions import defaults as D
 from claimlens.functions.signals import market_key, vertical_key
 from claimlens.operators import pit
 from claimlens.operators.ranks import quantiles, running
+from claimlens.sources.tables import written
 
 SLICE = ["market", "vertical"]
 EDGE = [*SLICE, "user_id", "vendor_id"]
@@ -58,6 +59,57 @@ def null_threshold(rows: DataFrame, shuffles: int | None = None, percentile: flo
     return cut.crossJoin(size).select(F.when(F.col("_size") >= c["min_history"], F.col("_cut")).alias("null_threshold"))
 
 
+def _filled(changes: DataFrame, keys: list[str], values: list[str], last: DataFrame) -> DataFrame:
+    """changes (keys, _day, values: running sums after the day) -> a row for each day they stand at the start of (`_at`),
+    up to the last one. last: one row, `_last`."""
+    after = F.lead("_day").over(Window.partitionBy(*keys).orderBy("_day"))
+    rows = changes.withColumn("_until", after).crossJoin(F.broadcast(last))
+    upto = F.least(F.coalesce("_until", "_last"), F.col("_last"))
+    spans = rows.where(F.col("_day") < upto).select(*keys, *values, F.explode(F.sequence(F.col("_day") + 1, upto)).alias("_at"))
+    return spans
+
+
+def null_cut_by_day(rows: DataFrame, shuffles: int | None = None, percentile: float | None = None) -> DataFrame:
+    """day, null_threshold: the percentile of shuffled edge anomalies over the history before the day, on every day with
+    history before it; null while that is short. rows: settled history.
+
+    Vendors are permuted within slice and day, so that the shuffle of an earlier history is the earlier part of the shuffle.
+    An edge's anomaly depends on its slice's totals and on its own orders and refunds alone, so each day is summed up by how
+    many shuffled edges of a slice stand at each (orders, refunds): an edge that grows leaves one such class for another.
+    The percentile is exact, from days x classes rows, not days x edges."""
+    c = D.EDGES
+    rows = rows.select(*EDGE, "order_id", "is_refund", F.unix_date(F.to_date("event_ts")).alias("_day"))
+    by = [*SLICE, "_day"]
+    here = written(running(rows, by, [F.col("order_id")], name="_k"))
+    moves = None
+    for s in range(shuffles or c["shuffles"]):
+        tag = F.md5(F.concat(F.col("order_id").cast("string"), F.lit(f"|{s}")))
+        there = running(here.select(*by, "order_id", F.col("vendor_id").alias("_v"), tag.alias("_tag")), by, [F.col("_tag"), F.col("order_id")], name="_k").select(*by, "_v", "_k")
+        daily = here.join(there, [*by, "_k"]).groupBy(*SLICE, "user_id", "_v", "_day").agg(F.count("*").alias("_n"), F.sum("is_refund").cast("long").alias("_r"))
+        seq = Window.partitionBy(*SLICE, "user_id", "_v").orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        grown = daily.select(*SLICE, "_day", F.sum("_n").over(seq).alias("n"), F.sum("_r").over(seq).alias("r"), "_n", "_r")
+        step = F.explode(F.array(F.struct("n", "r", F.lit(1).alias("c")), F.struct((F.col("n") - F.col("_n")).alias("n"), (F.col("r") - F.col("_r")).alias("r"), F.lit(-1).alias("c")))).alias("_x")
+        part = grown.select(*SLICE, "_day", step).select(*SLICE, "_day", "_x.*").where("n > 0").groupBy(*SLICE, "n", "r", "_day").agg(F.sum("c").alias("c"))
+        moves = part if moves is None else moves.unionByName(part)
+    last = rows.agg(F.max("_day").alias("_last"))
+    upto = lambda *keys: Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    classes = moves.groupBy(*SLICE, "n", "r", "_day").agg(F.sum("c").alias("c"))
+    classes = _filled(classes.withColumn("c", F.sum("c").over(upto(*SLICE, "n", "r"))), [*SLICE, "n", "r"], ["c"], last).where("c > 0")
+    total = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.sum("is_refund").cast("long").alias("_r"))
+    total = total.select(*by, F.sum("_n").over(upto(*SLICE)).alias("_n"), F.sum("_r").over(upto(*SLICE)).alias("_r"))
+    total = written(_filled(total, SLICE, ["_n", "_r"], last))
+    scored = classes.join(total, [*SLICE, "_at"]).withColumns(edge_columns(F.col("n"), F.col("r"), F.col("_n") - F.col("n"), F.col("_r") - F.col("r")))
+    values = scored.groupBy("_at", "edge_anomaly").agg(F.sum("c").alias("c"))
+    # as many rows a day as classes of all slices
+    values = values.withColumns({"_upto": F.sum("c").over(Window.partitionBy("_at").orderBy("edge_anomaly")), "_all": F.sum("c").over(Window.partitionBy("_at"))})
+    k = F.lit(float(percentile or c["percentile"])) * (F.col("_all") - 1)
+    at = lambda i: F.max(F.when((i < F.col("_upto")) & (i >= F.col("_upto") - F.col("c")), F.col("edge_anomaly")))
+    cut = values.groupBy("_at").agg(at(F.floor(k)).alias("_low"), at(F.ceil(k)).alias("_high"), F.max(k - F.floor(k)).alias("_part"))
+    size = total.groupBy("_at").agg(F.sum("_n").alias("_size"))
+    out = cut.join(size, "_at")
+    return out.select(F.date_from_unix_date(F.col("_at").cast("int")).alias("day"), F.when(F.col("_size") >= c["min_history"], F.col("_low") + F.col("_part") * (F.col("_high") - F.col("_low"))).alias("null_threshold"))
+
+
 def with_tags(edges: DataFrame) -> DataFrame:
     """mo_tag of elevated edges by the degrees of both ends over all edges."""
     by_user = edges.groupBy(*SLICE, "user_id").agg(F.count("*").alias("_ud"))
@@ -103,25 +155,32 @@ def uv_features(orders: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFr
                       tag("possible_collusion").alias("uv_mo_possible_collusion"), tag("user_scatter_refunds").alias("uv_mo_user_scatter"), tag("elevated_uv").alias("uv_mo_elevated_uv"), zero("_user").alias("user_bipartite_anomaly"), zero("_vendor").alias("vendor_bipartite_anomaly"))
 
 
-def edge_as_of(orders: DataFrame, history: DataFrame, grain: str = "order") -> DataFrame:
+def edge_as_of(orders: DataFrame, history: DataFrame, grain: str = "order", null_test: bool = False) -> DataFrame:
     """order_id and the state of the order's edge before it: at its instant without itself ('order'), or at the
-    start of its day ('day'). No null test: a shuffle per order has no set form."""
+    start of its day ('day'). null_test: elevated edges must also exceed the null threshold as of the order's day."""
     rows = settled(history)
-    at = orders.withColumns({"market": market_key(F.col("market")), "vertical": vertical_key(F.col("vertical"))})
+    at = orders.withColumns({"market": market_key(F.col("market")), "vertical": vertical_key(F.col("vertical")), "_day_of": F.to_date("event_ts")})
+    days = at.select("order_id", "_day_of")
     if grain == "day":
         at = at.withColumn("event_ts", F.date_trunc("day", "event_ts") - F.expr("INTERVAL '0.000001' SECOND"))
     own = pit.window_sums(at, rows, {"n_orders": (EDGE, None, "n"), "n_refunds": (EDGE, None, "r")})
     total = pit.base_rate(at, rows, SLICE).select("order_id", "base_n", "base_r")
     out = own.join(total, "order_id")
-    return out.withColumns(edge_columns(F.col("n_orders"), F.col("n_refunds"), F.col("base_n") - F.col("n_orders"), F.col("base_r") - F.col("n_refunds"))).drop("base_n", "base_r")
+    out = out.withColumns(edge_columns(F.col("n_orders"), F.col("n_refunds"), F.col("base_n") - F.col("n_orders"), F.col("base_r") - F.col("n_refunds"))).drop("base_n", "base_r")
+    if not null_test:
+        return out
+    # a row a day
+    cuts = written(null_cut_by_day(rows))
+    out = out.join(days, "order_id").join(cuts, F.col("_day_of") == F.col("day"), "left")
+    return out.withColumn("elevated", F.col("elevated") & (F.col("null_threshold").isNull() | (F.col("edge_anomaly") > F.col("null_threshold")))).drop("day", "_day_of")
 
 
-def elevated_orders(orders: DataFrame, history: DataFrame, mode: str) -> DataFrame:
-    """order_id of orders on an elevated edge: mode 'asof_order', 'asof_daily' or 'batch'."""
+def elevated_orders(orders: DataFrame, history: DataFrame, mode: str, null_test: bool = False) -> DataFrame:
+    """order_id of orders on an elevated edge: mode 'asof_order', 'asof_daily' or 'batch' (which always tests the null)."""
     if mode == "batch":
         at = orders.select("order_id", market_key(F.col("market")).alias("market"), vertical_key(F.col("vertical")).alias("vertical"), "user_id", "vendor_id")
         return at.join(uv_edges(history).where("elevated").select(*EDGE), EDGE, "left_semi").select("order_id")
-    return edge_as_of(orders, history, "day" if mode == "asof_daily" else "order").where("elevated").select("order_id")
+    return edge_as_of(orders, history, "day" if mode == "asof_daily" else "order", null_test).where("elevated").select("order_id")
 
 
 def node_table(edges: DataFrame) -> DataFrame:

@@ -94,10 +94,10 @@ def discovered(df: DataFrame, hit: Column) -> DataFrame:
     return df.withColumns({"_hit": F.coalesce(hit, F.lit(False))}).withColumns({c: F.when(F.col("_hit"), 1).otherwise(F.col(c)) for c in ("abuse_label", "abuse_label_weak", "fraud_label")} | {"fraud_label_source": F.when(F.col("_hit"), "discovery").otherwise(F.col("fraud_label_source"))}).drop("_hit")
 
 
-def mint_uv(orders: DataFrame, history: DataFrame, mode: str = "asof_daily") -> DataFrame:
-    """Discovery labels for orders on elevated edges that aren't protected."""
+def mint_uv(orders: DataFrame, history: DataFrame, mode: str = "asof_daily", null_test: bool = False) -> DataFrame:
+    """Discovery labels for orders on elevated edges that aren't protected; null_test: above the null as of the day."""
     df = ensure_labels(orders)
-    up = graph.elevated_orders(df, history, mode).select(F.col("order_id").alias("_up")).distinct()
+    up = graph.elevated_orders(df, history, mode, null_test).select(F.col("order_id").alias("_up")).distinct()
     out = df.join(up, df["order_id"] == up["_up"], "left")
     return discovered(out, F.col("_up").isNotNull() & ~proven()).drop("_up")
 

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimlens.sources.tables import written
+
 DAY = 86_400_000_000
 MINUTE = 60_000_000
 #: Entity windows in days, and the shrinkage of rates.
@@ -239,7 +241,7 @@ def related_stats(orders: DataFrame, history: DataFrame, devices: DataFrame, bas
 
 def order_features(orders: DataFrame, history: DataFrame, devices: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """One row per order with all entity, link, device, related, platform and flag features (money in cents)."""
-    base = base_rate(orders, history)
+    base = written(base_rate(orders, history))
     parts = [base, user_windows(orders, history), vendor_windows(orders, history), driver_windows(orders, history), signup(orders, history, users),
              device_stats(orders, devices), device_integrity(orders, devices), reason_repeat(orders, history), related_stats(orders, history, devices, base)]
     flags = orders.select("order_id", *[c.alias(n) for n, c in (order_flags() | claim_delivery(orders)).items()])

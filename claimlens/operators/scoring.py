@@ -77,10 +77,12 @@ def ladder_tier(score: Column, soft: Column, hold: Column, deny: Column) -> Colu
     return F.when(score >= deny, D.TIERS[3]).when(score >= hold, D.TIERS[2]).when(score >= soft, D.TIERS[1]).otherwise(D.TIERS[0])
 
 
-def head_tier() -> Column:
-    """Either head over its own ladder."""
-    a, f = F.col("abuse_score"), F.col("fraud_score")
-    over = [(a >= x) | (f >= y) for x, y in zip(D.ABUSE_LADDER, D.FRAUD_LADDER, strict=True)]
+def head_tier(warped: bool = False) -> Column:
+    """Either head over its own ladder: the default one, or the columns {head}_soft_friction and so on."""
+    levels = ("soft_friction", "hold_review", "auto_deny")
+    ladders = {"abuse": D.ABUSE_LADDER, "fraud": D.FRAUD_LADDER}
+    at = lambda h, i: F.col(f"{h}_{levels[i]}") if warped else F.lit(ladders[h][i])
+    over = [reduce(lambda a, b: a | b, [F.col(f"{h}_score") >= at(h, i) for h in ladders]) for i in range(3)]
     return F.when(over[2], D.TIERS[3]).when(over[1], D.TIERS[2]).when(over[0], D.TIERS[1]).otherwise(D.TIERS[0])
 
 
@@ -95,7 +97,7 @@ def with_decision(df: DataFrame, mode: str = "decision_primary", display=(0.5, 0
     combined = clip(F.greatest(F.col("decision_score"), (a * F.col("abuse_score") + f * F.col("fraud_score")) / (a + f)))
     tier = {
         "decision_primary": ladder_tier(F.col("decision_score"), F.col("soft_friction"), F.col("hold_review"), F.col("auto_deny")),
-        "learning_primary": head_tier(),
+        "learning_primary": head_tier("abuse_soft_friction" in df.columns),
         "score_only": band_tier(combined),
     }[mode]
     return df.withColumns({"hard_gate": gate, "combined_score": F.when(gate, F.greatest(combined, F.lit(90.0))).otherwise(combined), "tier": F.when(gate, D.TIERS[3]).otherwise(tier)})
@@ -198,11 +200,11 @@ def score_orders(features: DataFrame, mode: str = "decision_primary") -> DataFra
     return with_evidence(with_budget(with_challenge(with_effect(df))))
 
 
-def snapshots(scored: DataFrame) -> DataFrame:
-    """The stored form: one nested row per order."""
+def snapshots(scored: DataFrame, *more: Column) -> DataFrame:
+    """The stored form: one nested row per order, with further columns if asked for."""
     pick = lambda names, suffix: F.struct(*[F.col(f"{n}{suffix}").alias(n) for n in names])
     return scored.select("order_id", "market", "vertical", "event_ts", "abuse_score", "fraud_score", "decision_score", "combined_score", "tier", pick(("user", "driver", "vendor"), "_score").alias("entity_scores"), pick(("ud", "uv", "vd", "uvd"), "_link_score").alias("link_scores"),
-                         "base_effect", "final_effect", "shadow_effect", "final_challenge", "shadow_challenge", "budget_pressure", "budget_floored", "reason_codes", F.struct("evidence", "contributions").alias("evidence_pack"))
+                         "base_effect", "final_effect", "shadow_effect", "final_challenge", "shadow_challenge", "budget_pressure", "budget_floored", "reason_codes", F.struct("evidence", "contributions").alias("evidence_pack"), *more)
 
 
 LABELS_OF_THE_ORDER = ("abuse_label", "abuse_label_weak", "fraud_label", "fraud_label_source", "strong_fraud_label", "weak_policy_negative", "disposition", "disposition_ts")

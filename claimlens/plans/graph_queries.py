@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions import defaults as D
 from claimlens.functions import signals
-from claimlens.operators import graph
+from claimlens.operators import graph, labels
 from claimlens.sources.tables import written
 from claimlens.sources.views import view, with_views
 
@@ -149,6 +149,35 @@ AS_DAY = _as_of_parts("h.event_ts < date_trunc('day', o.event_ts)", "d")
 _as_select = lambda t: f"SELECT order_id, n_orders, n_refunds, {r6('refund_rate', 'base_rate', 'lift', 'edge_anomaly')}, CAST(elevated AS INT) AS elevated FROM w{t}"
 
 
+def null_days(spark, sf):
+    return graph.null_cut_by_day(graph.settled(view(spark, sf, "hist"))).select(F.col("day").cast("string").alias("day"), *R6("null_threshold"))
+
+
+def as_of_null(spark, sf):
+    """Edges as of each order, tested against the null as of its day."""
+    out = graph.edge_as_of(view(spark, sf, "ord"), view(spark, sf, "hist"), "order", null_test=True)
+    return out.select("order_id", "n_orders", "n_refunds", *R6("edge_anomaly", "null_threshold"), F.col("elevated").cast("int").alias("elevated"))
+
+
+def mint_null(spark, sf):
+    """Orders that are minted as discoveries with the null test as of their day."""
+    out = labels.mint_uv(view(spark, sf, "ord"), view(spark, sf, "hist"), "asof_order", null_test=True)
+    return out.where("fraud_label_source = 'discovery'").select("order_id", "abuse_label", "fraud_label")
+
+
+# The history before each day, vendors permuted within slice and day.
+_hd = "(SELECT *, CAST(event_ts AS DATE) AS day FROM hist)"
+DAY_NULL = [
+    "dsh AS (" + " UNION ALL ".join(f"SELECT {s} AS seed, a.market, a.vertical, a.day, a.user_id, b.vendor_id, a.is_refund FROM (SELECT *, row_number() OVER (PARTITION BY market, vertical, day ORDER BY order_id) AS rk FROM {_hd}) a JOIN (SELECT market, vertical, day, vendor_id, row_number() OVER (PARTITION BY market, vertical, day ORDER BY md5(CAST(order_id AS VARCHAR) || '|{s}'), order_id) AS rk FROM {_hd}) b ON a.market = b.market AND a.vertical = b.vertical AND a.day = b.day AND a.rk = b.rk" for s in range(D.EDGES["shuffles"])) + ")",
+    "dlist AS (SELECT unnest(generate_series((SELECT min(day) FROM dsh) + INTERVAL '1' DAY, (SELECT max(day) FROM dsh), INTERVAL '1' DAY))::DATE AS d)",
+    "dc AS (SELECT d, seed, market, vertical, user_id, vendor_id, count(*) AS n_orders, CAST(sum(is_refund) AS BIGINT) AS n_refunds FROM dsh JOIN dlist ON day < d GROUP BY ALL)",
+    "dt AS (SELECT *, sum(n_orders) OVER (PARTITION BY d, seed, market, vertical) AS bn, sum(n_refunds) OVER (PARTITION BY d, seed, market, vertical) AS br FROM dc)",
+    f"de AS ({RULES.format('dt')})",
+    f"dcut AS (SELECT d AS day, CASE WHEN (SELECT count(*) FROM hist WHERE CAST(event_ts AS DATE) < d) >= {D.EDGES['min_history']} THEN quantile_cont(edge_anomaly, {D.EDGES['percentile']}) END AS cut FROM de GROUP BY d)",
+]
+AS_NULL = [*AS_ORDER, *DAY_NULL, "wn AS (SELECT w.*, c.cut, w.elevated AND (c.cut IS NULL OR w.edge_anomaly > c.cut) AS up FROM wo w JOIN ord o ON o.order_id = w.order_id LEFT JOIN dcut c ON c.day = CAST(o.event_ts AS DATE))"]
+
+
 def node_table(spark, sf):
     out = graph.node_table(graph.uv_edges(view(spark, sf, "hist"), null_test=False))
     return out.select("market", "vertical", "entity_kind", "entity_id", "n_orders", "n_refunds", "n_partners", *R6("mean_lift", "mean_anomaly"))
@@ -159,7 +188,7 @@ _nt = lambda k: f"SELECT market, vertical, '{k}' AS entity_kind, CAST({k}_id AS
 
 def queries():
     return {"policy_features": policy, "sdk_normalized": sdk_normalized, "sdk_orders": sdk_orders, "uv_edges": edges, "uv_nodes": nodes, "uv_null_threshold": null, "uv_features": features,
-            "uv_edge_asof_order": as_of("order"), "uv_edge_asof_day": as_of("day"), "uv_node_table": node_table}
+            "uv_edge_asof_order": as_of("order"), "uv_edge_asof_day": as_of("day"), "uv_node_table": node_table, "uv_null_by_day": null_days, "uv_edge_asof_null": as_of_null, "mint_asof_null": mint_null}
 
 
 def oracle_sql():
@@ -174,5 +203,8 @@ def oracle_sql():
         "uv_features": with_views("ord", *NODE_PARTS, GRAPH_FEATURES, f"SELECT order_id, {r6(*GRAPH_COLS)} FROM gfeat"),
         "uv_edge_asof_order": with_views("ord", *AS_ORDER, _as_select("o")),
         "uv_edge_asof_day": with_views("ord", *AS_DAY, _as_select("d")),
+        "uv_null_by_day": with_views("hist", *DAY_NULL, "SELECT CAST(day AS VARCHAR) AS day, round(cut, 6) AS null_threshold FROM dcut"),
+        "uv_edge_asof_null": with_views("ord", *AS_NULL, "SELECT order_id, n_orders, n_refunds, round(edge_anomaly, 6) AS edge_anomaly, round(cut, 6) AS null_threshold, CAST(up AS INT) AS elevated FROM wn"),
+        "mint_asof_null": with_views("ord", *AS_NULL, "SELECT order_id, 1 AS abuse_label, 1 AS fraud_label FROM wn WHERE up"),
         "uv_node_table": with_views("hist", *_edges_of("hist", ""), f"{_nt('user')} UNION ALL {_nt('vendor')}"),
     }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from claimlens.plans import baseline_queries, evaluation_queries, feature_queries, graph_queries, label_queries, model_queries, score_queries, service_queries
+from claimlens.plans import baseline_queries, derived_queries, evaluation_queries, feature_queries, graph_queries, label_queries, model_queries, score_queries, service_queries, serving_queries
 
-MODULES = [feature_queries, graph_queries, score_queries, label_queries, evaluation_queries, baseline_queries, model_queries, service_queries]
+MODULES = [feature_queries, graph_queries, score_queries, label_queries, evaluation_queries, baseline_queries, model_queries, service_queries, serving_queries, derived_queries]
 
 
 def queries() -> dict:

@@ -30,3 +30,10 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether the path holds anything, in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(at)
