@@ -250,12 +250,6 @@ def proposals(anomalies: DataFrame) -> DataFrame:
     return anomalies.where("flagged").select(F.lit("decision_threshold_overlay").alias("kind"), F.lit("shadow").alias("mode"), F.lit(False).alias("auto_enforce"), part[0].alias("market"), part[1].alias("vertical"), F.concat(F.lit("refund_rate z="), F.format_number("z", 2)).alias("reason"))
 
 
-def replay_difference(full: DataFrame, cut: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows that differ between features over all history and over the history up to then: empty if nothing leaks."""
-    a, b = full.select("order_id", *columns), cut.select("order_id", *columns)
-    return a.exceptAll(b).unionByName(b.exceptAll(a))
-
-
 def source_metrics(df: DataFrame, score: str, digits: int = 4) -> DataFrame:
     """Ranking quality of each fraud label source against the negatives. Negatives are counted by score step before
     they meet the sources, of which there are a handful."""

@@ -249,11 +249,6 @@ def time_split(orders: DataFrame, holdout_days: float = 7.0, min_train: int = 20
     return orders.where(t < cut), orders.where(t >= cut), {"mode": "time_adaptive" if adaptive else "time", "temporal_ok": not adaptive, "cut": cut}
 
 
-def md5_rank(df: DataFrame, seed: int, by: list[str] = ()) -> Column:
-    tag = F.md5(F.concat(F.col("order_id").cast("string"), F.lit(f"|{seed}")))
-    return F.row_number().over(Window.partitionBy(*(by or [F.lit(1)])).orderBy(tag, "order_id"))
-
-
 def stratified_sample(labelled: DataFrame, n: int, seed: int = 42, oversample: float = 2.0, cap: float = 0.5) -> DataFrame:
     """n rows with labelled ones taken up to twice as often, at most half of the sample; by md5 order."""
     minority = (F.col("abuse_label") >= 1) | (F.col("fraud_label") >= 1)
