@@ -43,15 +43,16 @@ def recommend_ladders(scored: DataFrame, score: str, label: str, by: list[str] =
         fits &= F.col("fp_rate") <= max_fp_rate + 1e-12
     if max_fp_mean is not None:
         fits &= F.col("fp_amount_mean") <= max_fp_mean + 1e-12
-    reach = lambda r: F.max(F.when(F.col("recall") >= r, F.col("score")))
-    cuts = sweep.groupBy(*key).agg(F.max("n").alias("n"), F.max("n_pos").alias("n_pos"), F.max(F.when(fits, F.col("score"))).alias("soft_cut"), reach(max(0.85, target - 0.08)).alias("_h"), reach(0.5).alias("_d"))
-    cuts = cuts.withColumn("soft_friction", F.coalesce("soft_cut", "_h", F.lit(defaults[0])))
-    cuts = cuts.withColumn("hold_review", F.greatest(F.coalesce("_h", F.lit(defaults[1])), "soft_friction"))
-    cuts = cuts.withColumn("auto_deny", F.greatest(F.coalesce("_d", F.lit(defaults[2])), "hold_review")).drop("_h", "_d")
-    at = sweep.select(*key, "score", "n_pred", "tp", "recall", "precision", "fp_rate")
-    joined = cuts.join(at, key) if key else cuts.crossJoin(at)
-    first = joined.where(F.col("score") >= F.col("soft_friction")).groupBy(*cuts.columns).agg(F.min_by(F.struct("n_pred", "tp", "recall", "precision", "fp_rate"), "score").alias("_at"))
-    out = first.select(*cuts.columns, "_at.*")
+    # cuts by a window over a slice's score steps, so that the steps are made once and joined with nothing
+    whole = Window.partitionBy(*(key or [F.lit(1)]))
+    reach = lambda r: F.max(F.when(F.col("recall") >= r, F.col("score"))).over(whole)
+    rows = sweep.withColumns({"soft_cut": F.max(F.when(fits, F.col("score"))).over(whole), "_h": reach(max(0.85, target - 0.08)), "_d": reach(0.5)})
+    rows = rows.withColumn("soft_friction", F.coalesce("soft_cut", "_h", F.lit(defaults[0])))
+    rows = rows.withColumn("hold_review", F.greatest(F.coalesce("_h", F.lit(defaults[1])), "soft_friction"))
+    rows = rows.withColumn("auto_deny", F.greatest(F.coalesce("_d", F.lit(defaults[2])), "hold_review")).where(F.col("score") >= F.col("soft_friction"))
+    cuts = [*key, "n", "n_pos", "soft_cut", "soft_friction", "hold_review", "auto_deny"]
+    first = rows.groupBy(*cuts).agg(F.min_by(F.struct("n_pred", "tp", "recall", "precision", "fp_rate"), "score").alias("_at"))
+    out = first.select(*cuts, "_at.*")
     low, high = wilson(F.col("tp"), F.col("n_pred"))
     out = out.withColumns({"wilson_lo": low, "wilson_hi": high, "thin": (F.col("n") < min_n) | (F.col("n_pos") < min_pos), "soft_floor_binds": F.col("soft_friction") < 10.0})
     ok = F.col("soft_cut").isNotNull() & ~F.col("soft_floor_binds") & (F.col("n_pred") >= min_ci) & (F.col("wilson_lo") + 1e-12 >= min_precision)

@@ -51,18 +51,23 @@ def upto(keys: list[str], days: int | None = None) -> Window:
     return w.rangeBetween(Window.unboundedPreceding if days is None else -days * DAY, Window.currentRow)
 
 
-def window_sums(orders: DataFrame, history: DataFrame, wanted: dict[str, tuple[list[str], int | None, str]]) -> DataFrame:
+def own_rows(orders: DataFrame, history: DataFrame) -> DataFrame:
+    """The orders' own rows in the history: what several windows have to leave out."""
+    return history.join(orders.select("order_id").distinct(), "order_id", "left_semi")
+
+
+def window_sums(orders: DataFrame, history: DataFrame, wanted: dict[str, tuple[list[str], int | None, str]], own: DataFrame | None = None) -> DataFrame:
     """order_id and, for each wanted name (keys, days, measure), the sum over the history up to the order.
 
     Keys of one call should begin with the same entity: then one shuffle serves all. Measures: n rows, r
-    refunds, g cents, rg refunded cents."""
+    refunds, g cents, rg refunded cents. own: own_rows, where several calls share them."""
     keys = list(dict.fromkeys(k for ks, _, _ in wanted.values() for k in ks))
     rows = timeline(orders, history, keys)
     measures = {"n": F.col("_w"), "r": F.col("_r"), "g": F.col("_g"), "rg": F.col("_r") * F.col("_g")}
     sums = {name: F.sum(measures[m]).over(upto(ks, days)) for name, (ks, days, m) in wanted.items()}
     out = rows.select("order_id", "_w", *[c.alias(n) for n, c in sums.items()]).where("_w = 0").drop("_w")
     # the order's own rows in the history, as far as they are in the window
-    own = _micros(history.join(orders.select("order_id").distinct(), "order_id", "left_semi"))
+    own = _micros(own_rows(orders, history) if own is None else own)
     own = own.select("order_id", *[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_t").alias("_ot"), F.col("is_refund").cast("long").alias("_or"), F.col("cents").cast("long").alias("_og"))
     mine = _micros(orders).select("order_id", *keys, "_t").join(own, "order_id")
     measure = {"n": F.lit(1), "r": F.col("_or"), "g": F.col("_og"), "rg": F.col("_or") * F.col("_og")}
@@ -76,7 +81,7 @@ def window_sums(orders: DataFrame, history: DataFrame, wanted: dict[str, tuple[l
     return out.select("order_id", *[(F.col(n) - F.coalesce(f"_less_{n}", F.lit(0))).cast("long").alias(n) for n in wanted])
 
 
-def base_rate(orders: DataFrame, history: DataFrame, keys: list[str] = ()) -> DataFrame:
+def base_rate(orders: DataFrame, history: DataFrame, keys: list[str] = (), own: DataFrame | None = None) -> DataFrame:
     """order_id, base_n, base_r, base_rate: all history up to the order, or all of the same keys.
 
     A running total without keys would sort everything in one task, so it is made of the totals of the minutes
@@ -91,7 +96,7 @@ def base_rate(orders: DataFrame, history: DataFrame, keys: list[str] = ()) -> Da
     minutes = minutes.select(*keys, "_minute", (F.col("_yn") + F.col("_tn")).alias("_pn"), (F.col("_yr") + F.col("_tr")).alias("_pr"))
     within = Window.partitionBy(*keys, "_minute").orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumns({"_in": F.sum("_w").over(within), "_ir": F.sum("_r").over(within)}).where("_w = 0").join(minutes, [*keys, "_minute"])
-    own = _micros(history.join(orders.select("order_id").distinct(), "order_id", "left_semi")).select(F.col("order_id"), *[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_t").alias("_ot"), F.col("is_refund").cast("long").alias("_or"))
+    own = _micros(own_rows(orders, history) if own is None else own).select(F.col("order_id"), *[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_t").alias("_ot"), F.col("is_refund").cast("long").alias("_or"))
     mine = rows.select("order_id", *keys, "_t").join(own, "order_id")
     same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_o_{k}") for k in keys], F.col("_ot") <= F.col("_t"))
     less = mine.groupBy("order_id").agg(F.sum(same.cast("long")).alias("_ln"), F.sum(F.when(same, F.col("_or")).otherwise(0)).alias("_lr"))
@@ -102,24 +107,24 @@ def base_rate(orders: DataFrame, history: DataFrame, keys: list[str] = ()) -> Da
     return out.withColumn("base_rate", F.least(F.greatest(rate, F.lit(0.02)), F.lit(0.5)))
 
 
-def user_windows(orders: DataFrame, history: DataFrame) -> DataFrame:
+def user_windows(orders: DataFrame, history: DataFrame, own: DataFrame | None = None) -> DataFrame:
     """All sums keyed by the user first: one shuffle for the entity and its links."""
     u = ["user_id"]
     wanted = {"user_n30": (u, 30, "n"), "user_r7": (u, 7, "r"), "user_r30": (u, 30, "r"), "user_g30": (u, 30, "g"), "user_rg30": (u, 30, "rg"),
               "life_n": (u, None, "n"), "life_r": (u, None, "r"), "life_g": (u, None, "g"), "life_rg": (u, None, "rg")}
     for link in ("ud", "uv", "uvd"):
         wanted |= {f"{link}_n": (LINKS[link], 90, "n"), f"{link}_r": (LINKS[link], 90, "r")}
-    return window_sums(orders, history, wanted)
+    return window_sums(orders, history, wanted, own)
 
 
-def vendor_windows(orders: DataFrame, history: DataFrame) -> DataFrame:
+def vendor_windows(orders: DataFrame, history: DataFrame, own: DataFrame | None = None) -> DataFrame:
     v = ["vendor_id"]
-    return window_sums(orders, history, {"vendor_n30": (v, 30, "n"), "vendor_r30": (v, 30, "r"), "vendor_g30": (v, 30, "g"), "vendor_rg30": (v, 30, "rg"), "vd_n": (LINKS["vd"], 90, "n"), "vd_r": (LINKS["vd"], 90, "r")})
+    return window_sums(orders, history, {"vendor_n30": (v, 30, "n"), "vendor_r30": (v, 30, "r"), "vendor_g30": (v, 30, "g"), "vendor_rg30": (v, 30, "rg"), "vd_n": (LINKS["vd"], 90, "n"), "vd_r": (LINKS["vd"], 90, "r")}, own)
 
 
-def driver_windows(orders: DataFrame, history: DataFrame) -> DataFrame:
+def driver_windows(orders: DataFrame, history: DataFrame, own: DataFrame | None = None) -> DataFrame:
     d = ["driver_id"]
-    return window_sums(orders, history, {"driver_n30": (d, 30, "n"), "driver_r30": (d, 30, "r")})
+    return window_sums(orders, history, {"driver_n30": (d, 30, "n"), "driver_r30": (d, 30, "r")}, own)
 
 
 def signup(orders: DataFrame, history: DataFrame, users: DataFrame | None) -> DataFrame:
@@ -241,8 +246,10 @@ def related_stats(orders: DataFrame, history: DataFrame, devices: DataFrame, bas
 
 def order_features(orders: DataFrame, history: DataFrame, devices: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """One row per order with all entity, link, device, related, platform and flag features (money in cents)."""
-    base = written(base_rate(orders, history))
-    parts = [base, user_windows(orders, history), vendor_windows(orders, history), driver_windows(orders, history), signup(orders, history, users),
+    narrow = [c for c in ("order_id", "user_id", "vendor_id", "driver_id", "event_ts", "is_refund", "cents") if c in history.columns]
+    own = written(own_rows(orders, history).select(*narrow))
+    base = written(base_rate(orders, history, own=own))
+    parts = [base, user_windows(orders, history, own), vendor_windows(orders, history, own), driver_windows(orders, history, own), signup(orders, history, users),
              device_stats(orders, devices), device_integrity(orders, devices), reason_repeat(orders, history), related_stats(orders, history, devices, base)]
     flags = orders.select("order_id", *[c.alias(n) for n, c in (order_flags() | claim_delivery(orders)).items()])
     keep = [c for c in ("user_id", "driver_id", "vendor_id", "device_id", "market", "vertical", "status", "claim_reason", "event_ts", "cents", "is_refund") if c in orders.columns]

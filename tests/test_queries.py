@@ -6,7 +6,7 @@ import pytest
 
 from claimlens.plans import registry
 
-NAMES = ["pit_base_rate", "reason_repeat", "related_accounts", "policy_features", "sdk_orders", "uv_edges", "uv_edge_asof_order", "dispositions", "entity_scores", "time_split", "daily_refund_series", "history_pruned", "review_sample"]
+NAMES = ["pit_base_rate", "reason_repeat", "related_accounts", "policy_features", "sdk_orders", "uv_edges", "uv_edge_asof_order", "dispositions", "entity_scores", "time_split", "daily_refund_series", "history_pruned", "review_sample", "uv_null_by_day", "uv_edge_asof_null", "log_baselines", "log_cohorts", "stratified_folds", "edge_reconstruction", "reconstruction_nodes", "history_recent", "graph_export", "clean_export"]
 
 
 @pytest.fixture(scope="module")

@@ -2,6 +2,7 @@
 
 import os
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,26 @@ def test_deltas_are_idempotent_and_grow_with_the_batch(spark, tmp_path):
     assert told(table.read(spark, below=4).collect(), ["k", "v"]) == told(scoring.latest(early, ["k"], [F.col("event_ts").desc(), F.col("v").desc()]).collect(), ["k", "v"])
 
 
+def test_what_is_idle_can_be_removed(spark, tmp_path):
+    """Twenty batches with a vacuum after each: the table is whole, and its files don't pile up; a merge that broke off is read right."""
+    rows = spark.range(2000).select((F.col("id") % 300).alias("k"), (F.col("id") * 1.0).alias("v"), F.timestamp_seconds(F.col("id") * 37 % 2003).alias("event_ts"))
+    table = Deltas(str(tmp_path / "t"), LEDGER, ["k"], [F.col("event_ts").desc(), F.col("v").desc()], buckets=2, every=3)
+    for n in range(14):
+        table.write(rows.where(F.col("v") % 14 == n), n)
+        table.vacuum(spark)
+    assert len(table._numbers(spark, "delta", 99)) <= 6 and all(len(table._numbers(spark, f"base/bucket={b}", 99)) <= 2 for b in range(2))
+    want = told(scoring.latest(rows, ["k"], [F.col("event_ts").desc(), F.col("v").desc()]).collect(), ["k", "v"])
+    assert told(table.read(spark).collect(), ["k", "v"]) == want
+    # the next merge gets through one bucket only
+    shutil.copytree(tmp_path / "t", tmp_path / "broken")
+    table.compact(spark, 13)
+    shutil.copytree(tmp_path / "t/base/bucket=1/upto=13", tmp_path / "broken/base/bucket=1/upto=13")
+    broken = Deltas(str(tmp_path / "broken"), LEDGER, table.key, table.first, buckets=2, every=3)
+    assert told(broken.read(spark).collect(), ["k", "v"]) == want
+    broken.compact(spark, 13)
+    assert told(broken.read(spark).collect(), ["k", "v"]) == want == told(table.read(spark).collect(), ["k", "v"])
+
+
 def test_sums_are_merged_on_read(spark, tmp_path):
     table = Deltas(str(tmp_path / "t"), "k long, n long, late long, at long", ["k"], sums=("n", "late"), most=("at",), buckets=2, every=2)
     assert table.read(spark).collect() == []
