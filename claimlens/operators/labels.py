@@ -72,6 +72,7 @@ def default_voters(df: DataFrame) -> dict[str, Column]:
     rate, edge, life = has("user_refund_rate_30d"), has("uv_edge_elevated"), has("user_lifetime_orders")
     accounts = F.coalesce(has("accounts_per_device"), has("device_cluster_size"))
     reason = F.trim(F.coalesce(F.col("claim_reason"), F.lit(""))) != "" if "claim_reason" in df.columns else F.lit(False)
+    # Names of the votes
     return {"high_user_refund_rate": vote(rate, rate >= 0.35), "elevated_uv_edge": vote(edge, edge >= 0.5), "claim_thin_history": F.when(reason, vote(life, life <= 2)), "device_multi_account": vote(accounts, accounts >= 3)}
 
 
@@ -102,6 +103,7 @@ def mint_uv(orders: DataFrame, history: DataFrame, mode: str = "asof_daily", nul
     return discovered(out, F.col("_up").isNotNull() & ~proven()).drop("_up")
 
 
+# Columns that an anomaly is looked for in.
 ANOMALY_COLUMNS = ("device_cluster_size", "accounts_per_device", "uvd_refund_lift", "uvd_refund_share", "uvd_cooccur", "device_risk_score", "user_refund_rate_30d", "uv_edge_anomaly", "user_bipartite_anomaly", "uv_edge_lift", "uv_edge_elevated", "uv_mo_possible_collusion", "uv_mo_user_scatter", "is_cloned_app", "is_gps_spoof", "customer_courier_same_device")
 
 

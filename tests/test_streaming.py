@@ -16,7 +16,7 @@ from claimlens.streaming import jobs, state
 from claimlens.streaming.deltas import Deltas
 
 
-def in_batches(spark, df, path, order, n=6):
+def in_batches(spark, df, path, order, n=4):
     """df as a stream of n files in the given order; a later file has some of an earlier one's rows again if `order` says so."""
     rows = order(df.collect())
     size = -(-len(rows) // n)
@@ -183,7 +183,7 @@ def test_rolling_rates_equal_the_windows(spark, sf, tmp_path):
 def test_seen_orders_are_forgotten(spark, tmp_path):
     """One key, a row an hour for 90 days: what the key remembers stays within the days kept."""
     rows = spark.range(90 * 24).select(F.lit("k").alias("entity"), F.col("id").alias("order_id"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 3600).alias("event_ts"), F.lit(1).alias("is_refund"))
-    stream = in_batches(spark, with_end(spark, rows.withColumn("entity", F.lit("k")), entity="end"), tmp_path / "in", lambda x: sorted(x, key=lambda r: r.event_ts), 10)
+    stream = in_batches(spark, with_end(spark, rows.withColumn("entity", F.lit("k")), entity="end"), tmp_path / "in", lambda x: sorted(x, key=lambda r: r.event_ts), 5)
     state.rolling_refund_rate(stream, "entity", str(tmp_path / "out"), str(tmp_path / "cp"), "1 day").awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == 90 * 24 and out.agg(F.max("orders_30d")).first()[0] == 30 * 24
