@@ -7,6 +7,7 @@ import os
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -271,6 +272,24 @@ def test_targets_and_sizes_against_sql(spark, docs):
         assert g[:2] == (s, n) and abs(g[2] - min(2 * n, high * w)) < 1e-3
 
 
+def leaks(rows, items, least=0.8):
+    """Brute force: the similarity of the best window of each document and item."""
+    bag = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) or Counter([tuple(w)] if w else [])
+    asked = [(i, (q or "").lower().split()) for i, q, *_ in items]
+    out = {}
+    for d, t, *_ in rows:
+        w = (t or "").lower().split()
+        for i, v in asked:
+            b, best = bag(v), 0.0
+            for s in range(max(1, len(w) - len(v) + 1)) if w and v else ():
+                a = bag(w[s : s + len(v)])
+                both = sum((a & b).values())
+                best = max(best, both / (a.total() + b.total() - both))
+            if best >= least:
+                out[d, i] = best
+    return out
+
+
 def test_decontamination_against_brute_force(spark):
     r = random.Random(5)
     words = [f"w{i}" for i in range(300)]
@@ -287,20 +306,65 @@ def test_decontamination_against_brute_force(spark):
     items += [(80 + n, " ".join(f"s{k}" for k in range(n))) for n in range(1, 5)]
     rows += [(50, None), (51, ""), (52, items[1][1]), (53, "before s0 S1 s2 s3 after that and more words"), (54, "s0 s1"), (55, "s1 s0 s2 s0")]
     got = {(x.doc_id, x.item_id): x.similarity for x in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
-    bag = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)] or ([tuple(w)] if w else [])
-    want = {}
-    for d, t in rows:
-        w = (t or "").lower().split()
-        for i, q in items:
-            v = (q or "").lower().split()
-            best = 0.0
-            for s in range(max(1, len(w) - len(v) + 1)) if w and v else ():
-                a, b = bag(w[s : s + len(v)]), bag(v)
-                both = sum(min(a.count(x), b.count(x)) for x in set(a))
-                best = max(best, both / (len(a) + len(b) - both))
-            if best >= 0.8:
-                want[d, i] = best
-    assert got == pytest.approx(want)
+    assert got == pytest.approx(leaks(rows, items))
+
+
+@pytest.mark.parametrize("piece, block_bytes", [(1 << 14, 8 << 20), (50, 300)])
+def test_decontamination_of_hard_rows(spark, monkeypatch, piece, block_bytes):
+    """Long texts in pieces, texts shorter than an item, repeated rows and items, several blocks of the benchmark,
+    columns with clashing names, empty tables."""
+    r = random.Random(8)
+    word = lambda: f"v{r.randrange(900)}"
+    items = [(i, " ".join(word() for _ in range(30))) for i in range(8)]
+    items += [items[2], (9, items[2][1])]
+    long = [word() for _ in range(700)]
+    for k, at in enumerate((0, 45, 333, 670)):  # at the ends, and across a cut between pieces
+        long[at : at + 30] = items[k][1].split()
+    rows = [(1, " ".join(long)), (1, " ".join(long)), (2, " ".join(items[4][1].split()[:27])), (3, " ".join(items[5][1].split()[:20])), (4, None), (5, "")]
+    monkeypatch.setattr(decontaminate, "PIECE", piece)
+    docs = spark.createDataFrame([(*x, 1, 1.0) for x in rows], "doc_id long, text string, item_id int, similarity double")
+    bench = spark.createDataFrame([(*x, 7) for x in items], "item_id long, text string, doc_id int")
+    got = decontaminate.contaminated(docs, bench, block_bytes=block_bytes).collect()
+    assert {(x.doc_id, x.item_id): x.similarity for x in got} == pytest.approx(leaks(rows, items))
+    # both rows of document 1 and both items 2 are reported
+    assert Counter((x.doc_id, x.item_id) for x in got) == {(1, 0): 2, (1, 1): 2, (1, 2): 4, (1, 9): 2, (1, 3): 2, (2, 4): 1}
+    assert {x.item_id: (x.start_word, x.end_word) for x in got if x.doc_id == 1}[2] == (333, 363)
+    assert {x.item_id: (x.start_word, x.end_word) for x in got if x.doc_id == 2} == {4: (0, 27)}
+    assert decontaminate.contaminated(docs.limit(0), bench).count() == 0 and decontaminate.contaminated(docs, bench.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        decontaminate.contaminated(docs, bench, 0.5)
+
+
+def test_blocks_find_all_within_the_radius_and_few_others():
+    """Fingerprints at exactly the radius, with the bits that differ dealt as evenly over the blocks as can be or at random."""
+    r = np.random.default_rng(4)
+    some = lambda n: r.choice(np.array([-1, 1], np.int32), (n, 256))
+    own = some(1000)
+    index = decontaminate.Blocks(*decontaminate.fingerprints(own))
+    near = own[:300].copy()
+    for k, v in enumerate(near):
+        even = [b * 15 + j for j in range(4) for b in r.permutation(17)][:63]
+        at = even if k % 2 else r.choice(255, 63, replace=False)
+        v[at] *= -1
+    window, item = index.near(*decontaminate.fingerprints(near))
+    assert {(i, i) for i in range(300)} <= set(zip(window.tolist(), item.tolist()))
+    prints, blocks = decontaminate.fingerprints(some(300))
+    assert len(index.candidates(blocks)[0]) / 300_000 < 0.05
+    beyond = own[:100].copy()
+    beyond[:, r.choice(255, 64, replace=False)] *= -1
+    window, item = index.near(*decontaminate.fingerprints(beyond))
+    assert not len(window)
+    # the pairs that agree in two blocks, one by one
+    want = {(i, j) for i, b in enumerate(blocks[:20]) for j, c in enumerate(decontaminate.fingerprints(own)[1]) if (np.bitwise_count(b ^ c) <= 3).sum() >= 2}
+    assert set(zip(*map(np.ndarray.tolist, index.candidates(blocks[:20])))) == want
+
+
+def test_decontamination_query(spark, tmp_path):
+    items = [(i, " ".join(f"a{i}b{k}" for k in range(30))) for i in range(3)]
+    rows = [(7, "x " + items[1][1].upper() + " y", 1), (8, "nothing of the kind", 1), (9, None, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, item_id int").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert [tuple(x) for x in decontaminate.op5(spark, str(tmp_path)).collect()] == [(7, 1, 1.0, 1, 31)]
 
 
 def test_decontamination_recall_at_the_threshold(spark):
