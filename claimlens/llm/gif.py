@@ -8,7 +8,8 @@ Code widths depend only on how many codes were read since the last clear code, s
 are unpacked at once, and the table's strings are resolved as references into the stretch's own output.
 
 Defined results: a null or empty text is stored as one row of blanks; null or unreadable media give one row
-with a null frame number and the reason in `error`; repeated rows are handled one by one; an empty table
+with a null frame number and the reason in `error`, after the frames before the fault; so do media whose headers ask
+for more than MOST_PIXELS, which no executor is to hold; repeated rows are handled one by one; an empty table
 gives an empty result; other columns of the input are ignored.
 """
 
@@ -33,6 +34,8 @@ DELAY_CS = 10
 #: The format's own limit of a string table.
 TABLE_SIZE = 4096
 BINS = 16
+#: Pixels of a canvas or an image that frames() decodes at most: four bytes each, in four copies.
+MOST_PIXELS = 1 << 25
 
 
 @functools.lru_cache(maxsize=64)
@@ -234,6 +237,27 @@ def decode(data: bytes) -> Iterator[tuple[int, int, np.ndarray, tuple[int, int,
         transparent = -1
 
 
+def pixels_asked(data: bytes) -> int:
+    """The most pixels that the canvas or one of the images takes, by their headers alone."""
+    if data[:6] not in (b"GIF87a", b"GIF89a"):
+        raise ValueError("not a GIF")
+    width, height, flags = struct.unpack_from("<HHB", data, 6)
+    most, at = width * height, 13
+    while True:
+        at += 3 << (flags & 7) + 1 if flags & 0x80 else 0
+        if data[at] == 0x2C:
+            w, h, flags = struct.unpack_from("<HHB", data, at + 5)
+            most = max(most, w * h)
+            at += 10 + (3 << (flags & 7) + 1 if flags & 0x80 else 0) + 1
+        elif data[at] == 0x21:
+            at += 2
+        else:
+            return most
+        while data[at]:
+            at += 1 + data[at]
+        at, flags = at + 1, 0
+
+
 def histogram(pixels: np.ndarray, bins: int = BINS) -> list[list[int]]:
     """Counts of red, green and blue in `bins` equal ranges, over pixels that are not transparent."""
     flat = pixels.reshape(-1, 4)
@@ -250,23 +274,27 @@ def payload(text: str | None) -> tuple[bytes, int]:
 _FRAME = "frame int, start_cs int, delay_cs int, width int, height int, pixels binary, red array<int>, green array<int>, blue array<int>, error string"
 
 
-def frames(df: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:
+def frames(df: DataFrame, key: str = "doc_id", media: str = "media", most_pixels: int = MOST_PIXELS) -> DataFrame:
     """One row per frame of the GIF in column `media`: its time, canvas (RGBA rows) and colour histograms."""
     kind = dict(df.dtypes)[key]
     names = [key, *[c.split()[0] for c in _FRAME.split(", ")]]
     types = [pa.int32()] * 5 + [pa.binary()] + [pa.list_(pa.int32())] * 3 + [pa.string()]
 
+    def row(own: pa.Array, values: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([own, *(pa.array([v], t) for v, t in zip(values, types, strict=True))], names=names)
+
     def read(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                rows, data = [], batch.column(1)[k].as_py()
+                own, data = batch.column(0).slice(k, 1), batch.column(1)[k].as_py() or b""
                 try:
-                    for i, (start, delay, canvas, _) in enumerate(decode(data or b"")):
-                        rows.append([i, start, delay, canvas.shape[1], canvas.shape[0], canvas.tobytes(), *histogram(canvas), None])
+                    if (asked := pixels_asked(data)) > most_pixels:
+                        raise ValueError(f"GIF of {asked} pixels, more than {most_pixels}")
+                    for i, (start, delay, canvas, _) in enumerate(decode(data)):
+                        # frame by frame: a long animation isn't held as a whole
+                        yield row(own, [i, start, delay, canvas.shape[1], canvas.shape[0], canvas.tobytes(), *histogram(canvas), None])
                 except (ValueError, IndexError, struct.error) as e:
-                    rows.append([None] * 9 + [str(e)])
-                own = pa.concat_arrays([batch.column(0).slice(k, 1)] * len(rows)) if rows else batch.column(0).slice(0, 0)
-                yield pa.RecordBatch.from_arrays([own, *(pa.array([r[j] for r in rows], t) for j, t in enumerate(types))], names=names)
+                    yield row(own, [None] * 9 + [str(e)])
 
     return df.select(key, media).mapInArrow(read, f"{key} {kind}, {_FRAME}")
 

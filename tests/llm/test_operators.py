@@ -483,6 +483,131 @@ def test_gif_tables(docs, empty):
     assert gif.stored(empty).count() == 0
 
 
+def plain_lzw(samples, size, late):
+    """An encoder by dictionary. late: a full table stays until 300 more codes are out."""
+    clear, bits, count, over = 1 << size, [], 0, 0
+    fresh = lambda: {bytes([i]): i for i in range(1 << size)}
+    known, width, free = fresh(), size + 1, clear + 2
+    put = lambda code: bits.extend(code >> i & 1 for i in range(width))
+    put(clear)
+    now = b""
+    for x in samples:
+        if now + bytes([x]) in known:
+            now += bytes([x])
+            continue
+        put(known[now])
+        if free < 4096:
+            known[now + bytes([x])] = free
+            free += 1
+            width = min(12, max(width, (free - 1).bit_length()))
+        else:
+            over += 1
+        if free == 4096 and (not late or over == 300):
+            put(clear)
+            known, width, free, over, count = fresh(), size + 1, clear + 2, 0, count + 1
+        now = bytes([x])
+    if now:
+        put(known[now])
+    if free < 4096 and free.bit_length() > width:
+        width += 1
+    put(clear + 1)
+    bits += [0] * (-len(bits) % 8)
+    return bytes(sum(b << i for i, b in enumerate(bits[k : k + 8])) for k in range(0, len(bits), 8)), count
+
+
+def plain_unlzw(data, size):
+    """A decoder by dictionary, one code after the other."""
+    clear, bits, at, out = 1 << size, [b >> i & 1 for b in data for i in range(8)], 0, b""
+    known, width, last = [], size + 1, None
+    while True:
+        code = sum(b << i for i, b in enumerate(bits[at : at + width]))
+        at += width
+        if code == clear:
+            known, width, last = [bytes([i]) for i in range(clear)] + [b"", b""], size + 1, None
+            continue
+        if code == clear + 1:
+            return out
+        own = known[code] if code < len(known) else last + last[:1]
+        if last is not None and len(known) < 4096:
+            known.append(last + own[:1])
+        if len(known) == 1 << width and width < 12:
+            width += 1
+        out, last = out + own, own
+
+
+def plain_frames(canvas, images):
+    """Composited canvases, pixel by pixel, of (left, top, w, h, samples, palette, disposal, transparent)."""
+    w0, h0 = canvas
+    now, out = {}, []
+    for left, top, w, h, samples, palette, disposal, transparent in images:
+        before = dict(now)
+        for y in range(h):
+            for x in range(w):
+                v = samples[y * w + x]
+                if v != transparent and left + x < w0 and top + y < h0:
+                    now[left + x, top + y] = (*palette[3 * v : 3 * v + 3], 255)
+        out.append([[list(now.get((x, y), (0, 0, 0, 0))) for x in range(w0)] for y in range(h0)])
+        if disposal == 3:
+            now = before
+        elif disposal == 2:
+            now = {k: v for k, v in now.items() if not (left <= k[0] < left + w and top <= k[1] < top + h)}
+    return out
+
+
+@pytest.mark.parametrize("size, late", [(8, False), (8, True), (2, False), (3, True), (5, False)])
+def test_lzw_against_a_plain_coder(size, late):
+    r = random.Random(size)
+    for n in (1, 2, 3, 700, 30_000):
+        samples = bytes(r.randrange(1 << size) if r.random() < 0.9 else 1 for _ in range(n))
+        code, clears = plain_lzw(samples, size, late)
+        assert gif.lzw_decode(code, size, n) == samples
+        assert plain_unlzw(gif.lzw_encode(samples, size), size) == samples
+    assert clears  # the last one fills the table
+
+
+def test_gif_against_a_plain_decoder():
+    """Local palettes, interlaced rows, every disposal, transparency, images that reach beyond the canvas."""
+    r = random.Random(6)
+    palette = lambda n: bytes(r.randrange(256) for _ in range(3 << n))
+    for _ in range(30):
+        w0, h0, shared, images, out = r.randint(1, 12), r.randint(1, 20), palette(3), [], []
+        for _ in range(r.randint(1, 6)):
+            left, top, w, h = r.randrange(w0), r.randrange(h0), r.randint(1, 12), r.randint(1, 20)
+            samples, disposal, own = bytes(r.randrange(4) for _ in range(w * h)), r.randrange(4), r.choice([None, palette(2)])
+            transparent, laced = r.choice([None, 0, 3]), r.random() < 0.5
+            images.append((left, top, w, h, samples, own or shared, disposal, transparent))
+            rows = [samples[y * w : y * w + w] for y in range(h)]
+            if laced:
+                rows = rows[0::8] + rows[4::8] + rows[2::4] + rows[1::2]
+            head = b"\x21\xf9\x04" + bytes([disposal << 2 | (transparent is not None), 5, 0, transparent or 0, 0])
+            flags = (0x81 if own else 0) | (0x40 if laced else 0)
+            out.append(head + b"\x2c" + b"".join(v.to_bytes(2, "little") for v in (left, top, w, h)) + bytes([flags]) + (own or b"") + b"\x02" + gif._blocks(gif.lzw_encode(b"".join(rows), 2)))
+        data = b"GIF89a" + w0.to_bytes(2, "little") + h0.to_bytes(2, "little") + b"\x82\0\0" + shared + b"\x21\xfe\x02hi\0" + b"".join(out) + b"\x3b"
+        assert [c.tolist() for _, _, c, _ in gif.decode(data)] == plain_frames((w0, h0), images)
+        assert gif.pixels_asked(data) == max(w0 * h0, *(i[2] * i[3] for i in images))
+
+
+def test_gif_query_and_bad_media(spark, tmp_path):
+    texts = [(1, None), (2, ""), (3, "é" * 400), (3, "é" * 400), (4, "word " * 9000)]
+    spark.createDataFrame([(*t, b"x", 1) for t in texts], "doc_id long, text string, media binary, payload_bytes int").write.parquet(str(tmp_path / "documents.parquet"))
+    got = gif.op8(spark, str(tmp_path)).collect()
+    assert len(got) == 5 and len(set(map(tuple, got))) == 4
+    for x in got:
+        raw = (dict(texts)[x.doc_id] or "").encode()
+        want = raw + b" " * (-len(raw) % 192 if raw else 192)
+        media = gif.encode(want)
+        grey = np.bincount(np.frombuffer(want, np.uint8) >> 4, minlength=16)
+        assert tuple(x) == (x.doc_id, len(raw), len(want), hashlib.sha256(want).hexdigest(), zlib.crc32(want[-16:]), len(media), hashlib.sha256(media).hexdigest(), ",".join(map(str, grey)))
+    good = gif.encode(b"a" * 192 * 3, frame_rows=1)
+    huge = good[:6] + b"\xff\xff\xff\xff" + good[10:]
+    rows = [(1, good), (1, good), (2, None), (3, b"plain"), (4, good[:-40]), (5, huge), (6, good[:9])]
+    out = gif.frames(spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, media binary, frame int")).collect()
+    by = {k: [(x.frame, x.start_cs, x.error is None) for x in out if x.doc_id == k] for k in range(1, 7)}
+    assert by[1] == [(0, 0, True), (1, 10, True), (2, 20, True)] * 2
+    assert by[2] == by[3] == by[5] == by[6] == [(None, None, False)] and by[4][-1] == (None, None, False)
+    assert "4294836225 pixels" in next(x.error for x in out if x.doc_id == 5)
+
+
 def test_quality_learns_and_handles_edges(spark, empty):
     r = random.Random(2)
     good, bad = (lambda: " ".join(r.choice(["the", "river", "flows"]) for _ in range(30))), (lambda: " ".join(r.choice(["BUY!!", "$$$", "NOW!!"]) for _ in range(30)))
@@ -614,6 +739,51 @@ def test_shards(docs, empty, law):
     assert sharding.shards(empty, 5, law).count() == 0
 
 
+def plain_hilbert(x, bits):
+    """The index by Skilling's transpose, one number after the other."""
+    x, n, q = list(x), len(x), 1 << bits - 1
+    while q > 1:
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[i]) & (q - 1)
+                x[0], x[i] = x[0] ^ t, x[i] ^ t
+        q //= 2
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t = 0
+    for b in range(1, bits):
+        if x[-1] >> b & 1:
+            t ^= (1 << b) - 1
+    return int("".join(str((v ^ t) >> b & 1) for b in range(bits - 1, -1, -1) for v in x), 2)
+
+
+def test_shard_query_against_a_plain_sort(spark, tmp_path):
+    """The registered query, on repeated rows, nulls and a clashing column: shard and slot by one sort of all rows."""
+    from pyspark.sql import functions as F
+
+    rows = corpus(9, 150) + corpus(9, 40) + [(500, "same", "en", "a", 1, 1, "x")] * 70
+    spark.createDataFrame(rows, DOCS).repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    got = [(x.doc_id, x.size, x.text_crc32, x.law, x.shard, x.slot, x.grown_shard, x.hilbert) for x in sharding.op10(spark, str(tmp_path)).collect()]
+    text = F.coalesce("text", F.lit(""))
+    hashes = {(x.doc_id, x.t): (x.h, x.u) for x in spark.createDataFrame(rows, DOCS).select("doc_id", text.alias("t"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(17), "doc_id", text).alias("u")).collect()}
+    places = {k: {v: j for j, v in enumerate(sorted({x[k] for x in rows}, key=lambda v: (v is None, v or "")))} for k in (2, 3)}
+    order = []
+    for x in rows:
+        raw = (x[1] or "").encode()
+        size = len(raw) + 8
+        cell = plain_hilbert([places[3][x[3]], places[2][x[2]], max(0, min(63, int(np.floor(np.log2(size) * 4 - 12))))], 6)
+        order.append((cell, *hashes[x[0], x[1] or ""], x[0], size, zlib.crc32(raw)))
+    order.sort()
+    n, want, slots = len(order), [], Counter()
+    for rank, (cell, _, _, doc, size, crc) in enumerate(order):
+        shard = rank * 24 // n
+        want.append((doc, size, crc, "rows", shard, slots[shard], None, cell))
+        slots[shard] += 1
+    assert Counter(got) == Counter(want)
+
+
 def test_hashing_pieces(monkeypatch):
     spec = repeats.Windows("byte", 10, 4)
     u = hashing.byte_units(np.frombuffer(os.urandom(500) + b"a" * 60, np.uint8))
