@@ -784,6 +784,42 @@ def test_shard_query_against_a_plain_sort(spark, tmp_path):
     assert Counter(got) == Counter(want)
 
 
+def test_queries_on_a_written_table(spark, tmp_path):
+    """Registered queries on a table with clashing columns, nulls, blanks and copies: the whole table comes back, and
+    substring dedup, near-dedup and mixing say what brute force says."""
+    from claimlens.llm import queries
+
+    rows = corpus(21, 45)
+    spark.createDataFrame(rows, DOCS).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 3 and 1, 0) for i in range(0, 45, 2)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    run = {k: f for k, f in queries.queries().items() if k in ("op1_quality", "op2_bwt_dedup", "op3_mixing", "op4_minhash", "op7_seed_extend", "op9_interpolation")}
+    got = {k: {x.doc_id: x for x in f(spark, str(tmp_path)).collect()} for k, f in run.items()}
+    assert len(got) == 6 and all(set(v) == {x[0] for x in rows} for v in got.values())
+    held = {x[0]: zlib.crc32(str(x[0]).encode()) for x in rows}
+    for d, x in got["op1_quality"].items():
+        assert x.held_out == (held[d] % 5 == 0) and 0 <= x.score <= 1 and x.predicted == int(x.score >= 0.3)
+    word = lambda t: re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())
+    plain = removed(lambda t: list((t or "").encode()), 100, rows), removed(word, 20, rows)
+    for d, t, *_ in rows:
+        x, gone = got["op2_bwt_dedup"][d], plain[0][d]
+        raw = (t or "").encode()
+        assert (x.n_bytes, x.n_removed) == (len(raw), sum(gone)) and x.n_spans == sum(g and not b for g, b in zip(gone, [False, *gone]))
+        assert x.kept_sha256 == hashlib.sha256(bytes(b for b, g in zip(raw, gone) if not g)).hexdigest()
+        x, gone = got["op7_seed_extend"][d], plain[1][d]
+        assert (x.n_words, x.n_removed) == (len(word(t)), sum(gone))
+        assert x.kept_sha256 == hashlib.sha256(b" ".join(w for w, g in zip(word(t), gone) if not g)).hexdigest()
+        assert got["op9_interpolation"][d].n_tokens == len(word(t)) + 1 and got["op9_interpolation"][d].held_out == (held[d] % 10 == 0)
+        assert got["op3_mixing"][d].size == len(word(t)) and 0 <= got["op3_mixing"][d].taken <= 2 * len(word(t))
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()) for d, w in ((x[0], [v.lower() for v in word(x[1])]) for x in rows)}
+    group = {d: d for d in sets}
+    for _ in rows:  # the least number spreads over links
+        for a in sets:
+            for b in sets:
+                if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    group[a] = group[b] = min(group[a], group[b])
+    assert {d: (x.n_shingles, x.component_id, x.kept) for d, x in got["op4_minhash"].items()} == {d: (len(v), group[d], group[d] == d) for d, v in sets.items()}
+
+
 def test_hashing_pieces(monkeypatch):
     spec = repeats.Windows("byte", 10, 4)
     u = hashing.byte_units(np.frombuffer(os.urandom(500) + b"a" * 60, np.uint8))
