@@ -137,8 +137,7 @@ def _only(build, cols):
 
 
 def _user(o, h, d, u):
-    base = pit.base_rate(o, h)
-    s = pit.user_windows(o, h).join(base, "order_id").join(pit.signup(o, h, u), "order_id")
+    s = pit.add_signup(pit.add_sums(pit.based(o, h), h, {n: w for n, w in pit.USER.items() if n[:4] in ("user", "life")}, pit.first_seen()), u)
     real = lambda a, b: F.col(a).cast("double").alias(b)
     return s.select("order_id", real("user_n30", "user_orders_30d"), real("user_r7", "user_refund_count_7d"), real("user_r30", "user_refund_count_30d"), pit.shrunk_rate(F.col("user_r30"), F.col("user_n30"), F.col("base_rate")).alias("user_refund_rate_30d"),
                     pit.gmv_share(F.col("user_rg30"), F.col("user_g30"), F.col("user_n30"), F.col("base_rate")).alias("user_refund_gmv_pct_30d"), real("life_n", "user_lifetime_orders"), real("life_r", "user_lifetime_refund_count"),
@@ -152,7 +151,9 @@ BUILD = {
     "device_features": lambda o, h, d, u: pit.device_stats(o, d),
     "device_integrity": lambda o, h, d, u: pit.device_integrity(o, d),
     "reason_repeat": lambda o, h, d, u: pit.reason_repeat(o, h),
-    "related_features": lambda o, h, d, u: pit.related_stats(o, h, d, pit.base_rate(o, h)),
+    "related_features": lambda o, h, d, u: pit.related_stats(o, h, d),
+    "pit_driver_vendor_features": lambda o, h, d, u: pit.driver_vendor_features(o, h),
+    "pit_link_features": lambda o, h, d, u: pit.link_features(o, h),
     "order_flags": lambda o, h, d, u: o.select("order_id", *[c.alias(n) for n, c in pit.order_flags().items()]),
 }
 
