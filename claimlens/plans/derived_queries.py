@@ -41,11 +41,9 @@ def modes(spark, sf):
     """The tier of each decision mode, with a strong fraud label of the past on some orders."""
     df = scoring.with_standin_scores(scoring.with_entity_scores(features(spark, sf))).withColumn("prior_strong_fraud", (F.col("order_id") % 37 == 0).cast("double"))
     df = scoring.with_thresholds(df)
-    out = df.select("order_id")
     for mode in ("decision_primary", "learning_primary", "score_only"):
-        own = scoring.with_decision(df, mode).select("order_id", F.col("tier").alias(mode), F.round("combined_score", 6).alias("combined_score"), F.col("hard_gate").cast("int").alias("hard_gate"))
-        out = out.join(own if mode == "score_only" else own.select("order_id", mode), "order_id")
-    return out
+        df = scoring.with_decision(df, mode).withColumnRenamed("tier", mode)
+    return df.select("order_id", "decision_primary", "learning_primary", "score_only", F.round("combined_score", 6).alias("combined_score"), F.col("hard_gate").cast("int").alias("hard_gate"))
 
 
 _gated = lambda tier: f"CASE WHEN order_id % 37 = 0 THEN '{D.TIERS[3]}' ELSE {tier} END"
