@@ -17,7 +17,7 @@ from claimlens.plans import graph_queries as G
 from claimlens.plans import score_queries as S
 from claimlens.plans.feature_queries import FEATURE_PARTS, VIEWS, tables
 from claimlens.plans.label_queries import DISP, labelled
-from claimlens.sources.tables import shared_folder
+from claimlens.sources.tables import shared_folder, written
 from claimlens.sources.views import query_source, view, with_views
 
 KINDS = list(scoring.KINDS)
@@ -160,7 +160,9 @@ def replay(spark, sf):
     o = orders.where(early)
     full, cut = pit.order_features(o, hist, dev, usr), pit.order_features(o, hist.where(early), dev, usr)
     names = [c for c, t in full.dtypes if t in ("double", "bigint", "int") and c not in o.columns]
-    both = full.select("order_id", *names).join(cut.select("order_id", *[F.col(c).alias(f"_{c}") for c in names]), "order_id")
+    # written, so that one stage holds the sorts of one side's features
+    full, cut = written(full.select("order_id", *names)), written(cut.select("order_id", *names))
+    both = full.join(cut.select("order_id", *[F.col(c).alias(f"_{c}") for c in names]), "order_id")
     sums = both.agg(F.count("*").alias("n"), *[F.count_if(~F.col(c).eqNullSafe(F.col(f"_{c}"))).alias(c) for c in names])
     return sums.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col("n").alias("n_orders"), F.col(c).alias("n_different")) for c in names])).alias("_x")).select("_x.*")
 
