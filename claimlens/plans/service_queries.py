@@ -116,7 +116,7 @@ def fed(spark, sf):
 
 def looked_up(spark, sf):
     """The decision log, appended in two parts to a table by day, and what it holds of one order."""
-    path, snaps = fresh(spark), scoring.snapshots(S.scored(spark, sf))
+    path, snaps = fresh(spark), written(scoring.snapshots(S.scored(spark, sf)))
     for part in (0, 1):
         scoring.archive_append(snaps.where(F.col("order_id") % 2 == part), path)
     log = spark.read.parquet(path)

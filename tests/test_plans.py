@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from claimlens.operators import pit
+from claimlens.operators import pit, scoring
 from claimlens.plans import registry
 
 HISTORY = "order_id string, user_id string, driver_id string, vendor_id string, device_id string, cents long, is_refund int, claim_reason string, status string, vertical string, event_ts timestamp"
@@ -41,3 +41,10 @@ def test_rows_of_the_order_itself_are_left_out_of_all_sums(spark):
     got = pit.order_features(orders, history, devices).first()
     assert (got.base_n, got.user_orders_30d, got.vendor_orders_30d, got.driver_refund_count_30d, got.uvd_cooccur) == (2, 1.0, 2.0, 2.0, 1.0)
     assert (got.related_account_count, got.related_max_orders_30d, got.related_refund_cents_30d, got.reason_repeat_rate_30d) == (1.0, 1.0, 100, 0.0)
+
+
+def test_archive_appends_parts_of_written_snapshots(spark, sf, monkeypatch):
+    seen, append = [], scoring.archive_append
+    monkeypatch.setattr(scoring, "archive_append", lambda snaps, path: (seen.append(joins(snaps)), append(snaps, path)))
+    registry.queries()["archive_lookup"](spark, sf)
+    assert seen == [0, 0]
