@@ -14,6 +14,8 @@ from claimlens.operators.ranks import quantiles, running
 from claimlens.sources.tables import written
 
 SLICE = ["market", "vertical"]
+#: What uv_features gives.
+FEATURES = ("uv_edge_anomaly", "uv_edge_lift", "uv_edge_n_orders", "uv_edge_elevated", "uv_mo_possible_collusion", "uv_mo_user_scatter", "uv_mo_elevated_uv", "user_bipartite_anomaly", "vendor_bipartite_anomaly")
 EDGE = [*SLICE, "user_id", "vendor_id"]
 
 
@@ -34,10 +36,19 @@ def edge_columns(n: Column, r: Column, others_n: Column, others_r: Column) -> di
     return {"refund_rate": rate, "base_rate": base, "lift": lift, "edge_anomaly": lift * F.log(1 + n) * rate, "elevated": up}
 
 
+def counts() -> tuple[Column, Column]:
+    return F.count("*").alias("n_orders"), F.sum("is_refund").cast("long").alias("n_refunds")
+
+
 def raw_edges(rows: DataFrame) -> DataFrame:
-    edges = rows.groupBy(*EDGE).agg(F.count("*").alias("n_orders"), F.sum("is_refund").cast("long").alias("n_refunds"))
-    total = edges.groupBy(*SLICE).agg(F.sum("n_orders").alias("_n"), F.sum("n_refunds").alias("_r"))
-    edges = edges.join(total, SLICE)
+    return with_anomaly(rows.groupBy(*EDGE).agg(*counts()), rows.groupBy(*SLICE).agg(*counts()))
+
+
+def with_anomaly(edges: DataFrame, totals: DataFrame) -> DataFrame:
+    """Edges (or classes of them: orders and refunds) with edge_columns, given the totals of their slices."""
+    total = totals.select(*SLICE, F.col("n_orders").alias("_n"), F.col("n_refunds").alias("_r"))
+    # a row a slice
+    edges = edges.join(F.broadcast(total), SLICE)
     return edges.withColumns(edge_columns(F.col("n_orders"), F.col("n_refunds"), F.col("_n") - F.col("n_orders"), F.col("_r") - F.col("n_refunds"))).drop("_n", "_r")
 
 
@@ -45,16 +56,28 @@ def shuffled(here: DataFrame, seed: int) -> DataFrame:
     """Vendors permuted within each slice: the k-th row by order_id gets the vendor of the k-th row by a seeded md5.
     here: settled rows with `_k`, their rank by order_id in the slice."""
     tag = F.md5(F.concat(F.col("order_id").cast("string"), F.lit(f"|{seed}")))
-    there = running(here.select(*SLICE, "order_id", "vendor_id", tag.alias("_tag")), SLICE, [F.col("_tag"), F.col("order_id")], name="_k")
-    return here.drop("vendor_id").join(there.select(*SLICE, "vendor_id", "_k"), [*SLICE, "_k"]).drop("_k")
+    # hashes spread evenly, so their first digits cut a slice into ranges that needn't be drawn from the rows
+    there = here.select(*SLICE, "order_id", "vendor_id", tag.alias("_tag")).withColumn("_range", F.substring("_tag", 1, 3))
+    # 4,096 rows a slice at most
+    per = there.groupBy(*SLICE, "_range").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(*SLICE).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*SLICE, "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_earlier"))
+    inside = F.row_number().over(Window.partitionBy(*SLICE, "_range").orderBy("_tag", "order_id"))
+    there = there.withColumn("_in", inside).join(F.broadcast(per), [*SLICE, "_range"]).select(*SLICE, "vendor_id", (F.col("_earlier") + F.col("_in")).alias("_k"))
+    return here.drop("vendor_id").join(there, [*SLICE, "_k"]).drop("_k")
 
 
 def null_threshold(rows: DataFrame, shuffles: int | None = None, percentile: float | None = None) -> DataFrame:
-    """One row: null_threshold, the percentile of edge anomalies over all shuffles; null if the history is too short."""
+    """One row: null_threshold, the percentile of edge anomalies over all shuffles; null if the history is too short.
+
+    A shuffle leaves its slice's totals alone, so an edge's anomaly depends on its own orders and refunds only: shuffled edges
+    are counted by them, and the percentile is that of as many rows as such classes."""
     c = D.EDGES
-    here = running(rows.select(*EDGE, "order_id", "is_refund"), SLICE, [F.col("order_id")], name="_k")
-    pool = reduce(DataFrame.unionByName, [raw_edges(shuffled(here, s)).select("edge_anomaly") for s in range(shuffles or c["shuffles"])])
-    cut = quantiles(pool, {"_cut": F.col("edge_anomaly")}, [percentile or c["percentile"]]).select(F.col("_cut")[0].alias("_cut"))
+    rows = rows.select(*EDGE, "order_id", "is_refund")
+    here = written(running(rows, SLICE, [F.col("order_id")], name="_k"))
+    classes = reduce(DataFrame.unionByName, [shuffled(here, s).groupBy(*EDGE).agg(*counts()).groupBy(*SLICE, "n_orders", "n_refunds").agg(F.count("*").alias("_c")) for s in range(shuffles or c["shuffles"])])
+    pool = written(with_anomaly(classes.groupBy(*SLICE, "n_orders", "n_refunds").agg(F.sum("_c").alias("_c")), here.groupBy(*SLICE).agg(*counts())))
+    cut = quantiles(pool, {"_cut": F.col("edge_anomaly")}, [percentile or c["percentile"]], F.col("_c")).select(F.col("_cut")[0].alias("_cut"))
     size = rows.agg(F.count("*").alias("_size"))
     return cut.crossJoin(size).select(F.when(F.col("_size") >= c["min_history"], F.col("_cut")).alias("null_threshold"))
 
@@ -123,8 +146,8 @@ def mo_tag(elevated: Column, user_degree: Column, vendor_degree: Column) -> Colu
 
 
 def uv_edges(history: DataFrame, null_test: bool = True) -> DataFrame:
-    rows = settled(history)
-    edges = raw_edges(rows)
+    rows = written(settled(history).select(*EDGE, "order_id", "is_refund"))
+    edges = written(raw_edges(rows))
     if null_test:
         cut = null_threshold(rows)
         edges = edges.crossJoin(F.broadcast(cut))

@@ -30,11 +30,12 @@ def running(df: DataFrame, by: list[str], order: list[Column | str], weight: Col
     return out.withColumn(name, F.col(name) + F.col(sums)).drop(at, "_at", sums, *[f"_by_{c}" for c in by])
 
 
-def quantiles(df: DataFrame, columns: dict[str, Column], points: list[float]) -> DataFrame:
+def quantiles(df: DataFrame, columns: dict[str, Column], points: list[float], weight: Column | None = None) -> DataFrame:
     """One row: for each name the array of its column's exact quantiles at the points, interpolated linearly; null
-    without values. Nulls don't count."""
+    without values. Nulls don't count; weight: how many values a row stands for."""
     cells = F.explode(F.array(*[F.struct(F.lit(n).alias("_name"), c.cast("double").alias("_v")) for n, c in columns.items()])).alias("_x")
-    counts = df.select(cells).select("_x.*").where("_v is not null").groupBy("_name", "_v").agg(F.count("*").alias("_c"))
+    weight = F.lit(1) if weight is None else weight
+    counts = df.select(cells, weight.alias("_w")).select("_x.*", "_w").where("_v is not null").groupBy("_name", "_v").agg(F.sum("_w").alias("_c"))
     ranked = running(counts, ["_name"], [F.col("_v")], F.col("_c"), "_upto")
     size = ranked.groupBy(F.col("_name").alias("_of")).agg(F.max("_upto").alias("_n"))
     ranked = ranked.join(F.broadcast(size), F.col("_name") == F.col("_of"))

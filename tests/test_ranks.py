@@ -39,3 +39,10 @@ def test_quantiles_equal_numpy(spark):
         assert np.allclose(got[c], np.quantile([x[i] for x in rows if x[i] is not None], points)), c
     assert got.d is None
     assert quantiles(df.where("a > 1000"), {"a": F.col("a")}, points).first().a is None
+
+
+def test_weighted_quantiles_equal_numpy_of_repeated_rows(spark):
+    r = random.Random(5)
+    rows = [(r.randint(0, 40) / 8, r.randint(1, 9)) for _ in range(200)]
+    got = quantiles(spark.createDataFrame(rows, "a double, w int").repartition(4), {"a": F.col("a")}, [0.05, 0.5, 0.95], F.col("w")).first()
+    assert np.allclose(got.a, np.quantile([a for a, w in rows for _ in range(w)], [0.05, 0.5, 0.95]))
