@@ -1,9 +1,13 @@
 """Plans that keep each task small: what is shared is computed once, and few sorted inputs meet in one stage."""
 
 import datetime as dt
+import hashlib
 
-from claimlens.operators import pit, scoring
-from claimlens.plans import registry
+import pytest
+from pyspark.sql import functions as F
+
+from claimlens.operators import graph, pit, scoring
+from claimlens.plans import label_queries, registry
 
 HISTORY = "order_id string, user_id string, driver_id string, vendor_id string, device_id string, cents long, is_refund int, claim_reason string, status string, vertical string, event_ts timestamp"
 
@@ -48,3 +52,34 @@ def test_archive_appends_parts_of_written_snapshots(spark, sf, monkeypatch):
     monkeypatch.setattr(scoring, "archive_append", lambda snaps, path: (seen.append(joins(snaps)), append(snaps, path)))
     registry.queries()["archive_lookup"](spark, sf)
     assert seen == [0, 0]
+
+
+@pytest.mark.parametrize("name", ["proxy_labels", "label_sources", "sample_weights", "mint_self_train"])
+def test_labels_that_read_no_graph_column_build_no_graph(spark, sf, monkeypatch, name):
+    monkeypatch.setattr(graph, "uv_edges", None)
+    monkeypatch.setattr(label_queries, "written", lambda df: df.limit(0))
+    registry.queries()[name](spark, sf)
+
+
+def test_features_that_nobody_asks_for_are_not_computed(spark, sf, monkeypatch):
+    seen = []
+    monkeypatch.setattr(label_queries, "written", lambda df: seen.append(plan(df)) or df.limit(0))
+    registry.queries()["proxy_labels"](spark, sf)
+    assert "reason_repeat" not in seen[-1] and "related_" not in seen[-1] and "driver_r30" not in seen[-1]
+
+
+def test_shuffled_vendors_follow_the_hashes(spark):
+    rows = [(m, "food", o % 7, o * 31 % 11, o) for o in range(400) for m in ("SG", "US")[o % 3 == 0 :][:1]]
+    here = spark.createDataFrame([(*r, sum(x[0] == r[0] and x[4] <= r[4] for x in rows)) for r in rows], "market string, vertical string, user_id long, vendor_id long, order_id long, _k long")
+    got = {x.order_id: x.vendor_id for x in graph.shuffled(here, 3).collect()}
+    for m in ("SG", "US"):
+        mine = sorted((r for r in rows if r[0] == m), key=lambda r: r[4])
+        dealt = sorted(mine, key=lambda r: (hashlib.md5(f"{r[4]}|3".encode()).hexdigest(), r[4]))
+        assert [got[r[4]] for r in mine] == [r[3] for r in dealt]
+
+
+def test_null_threshold_ranks_classes_of_edges(spark, monkeypatch):
+    sizes, real = [], graph.quantiles
+    monkeypatch.setattr(graph, "quantiles", lambda df, *rest: (sizes.append(df.count()), real(df, *rest))[1])
+    rows = spark.range(600).select(F.lit("SG").alias("market"), F.lit("food").alias("vertical"), (F.col("id") % 50).alias("user_id"), (F.col("id") % 12).alias("vendor_id"), F.col("id").alias("order_id"), (F.col("id") % 4 == 0).cast("int").alias("is_refund"))
+    assert graph.null_threshold(rows).first().null_threshold is not None and sizes[0] < 60
