@@ -181,20 +181,20 @@ def uv_features(orders: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFr
 def edge_as_of(orders: DataFrame, history: DataFrame, grain: str = "order", null_test: bool = False) -> DataFrame:
     """order_id and the state of the order's edge before it: at its instant without itself ('order'), or at the
     start of its day ('day'). null_test: elevated edges must also exceed the null threshold as of the order's day."""
-    rows = settled(history)
-    at = orders.withColumns({"market": market_key(F.col("market")), "vertical": vertical_key(F.col("vertical")), "_day_of": F.to_date("event_ts")})
-    days = at.select("order_id", "_day_of")
+    # written, so that no later stage holds the sort that settles the history
+    rows = written(settled(history.select(*EDGE, "order_id", "is_refund", "cents", "event_ts")))
+    at = orders.select("order_id", market_key(F.col("market")).alias("market"), vertical_key(F.col("vertical")).alias("vertical"), "user_id", "vendor_id", F.to_date("event_ts").alias("_day_of"), "event_ts")
     if grain == "day":
         at = at.withColumn("event_ts", F.date_trunc("day", "event_ts") - F.expr("INTERVAL '0.000001' SECOND"))
-    own = pit.window_sums(at, rows, {"n_orders": (EDGE, None, "n"), "n_refunds": (EDGE, None, "r")})
-    total = pit.base_rate(at, rows, SLICE).select("order_id", "base_n", "base_r")
-    out = own.join(total, "order_id")
+    # orders carry the sums of their edge on to those of their slice
+    out = pit.add_sums(pit.with_own(at, rows, EDGE), rows, {"n_orders": (EDGE, None, "n"), "n_refunds": (EDGE, None, "r")})
+    out = pit.add_base(out, rows, SLICE).select("order_id", "_day_of", "n_orders", "n_refunds", "base_n", "base_r")
     out = out.withColumns(edge_columns(F.col("n_orders"), F.col("n_refunds"), F.col("base_n") - F.col("n_orders"), F.col("base_r") - F.col("n_refunds"))).drop("base_n", "base_r")
     if not null_test:
-        return out
+        return out.drop("_day_of")
     # a row a day
     cuts = written(null_cut_by_day(rows))
-    out = out.join(days, "order_id").join(cuts, F.col("_day_of") == F.col("day"), "left")
+    out = out.join(cuts, F.col("_day_of") == F.col("day"), "left")
     return out.withColumn("elevated", F.col("elevated") & (F.col("null_threshold").isNull() | (F.col("edge_anomaly") > F.col("null_threshold")))).drop("day", "_day_of")
 
 

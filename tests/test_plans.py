@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from claimlens.operators import baselines, graph, pit, scoring, serving
 from claimlens.plans import label_queries, registry
+from claimlens.sources.views import view as registry_view
 
 HISTORY = "order_id string, user_id string, driver_id string, vendor_id string, device_id string, cents long, is_refund int, claim_reason string, status string, vertical string, event_ts timestamp"
 
@@ -134,3 +135,11 @@ def test_last_scores_of_a_cohort_leave_out_nulls_and_put_nan_last(spark):
     got = [(r.cohort_n, r.cohort_p50) for r in baselines.cohort_history(log, baselines.D.BASELINE | {"cohort_events": 3}, block=2).where("score_head = 'abuse'").orderBy("order_id").collect()]
     # 13, null, nan, 91, 16, 42
     assert len(got) == 6 and [n for n, _ in got][:4] == [1, 1, 2, 2] and got[0] == (1, 13.0) and got[2][1] != got[2][1] and got[5] == (3, 42.0)
+
+
+def test_edges_as_of_orders_read_a_settled_history(spark, sf):
+    """Which rows count is settled once, and orders carry what they have: of joins there are the own rows, and the totals before."""
+    orders, hist = (registry_view(spark, sf, n) for n in ("ord", "hist"))
+    for grain in ("order", "day"):
+        out = graph.edge_as_of(orders, hist, grain)
+        assert joins(out) <= 3 and "row_number" not in plan(out)
