@@ -174,11 +174,17 @@ def with_budget(df: DataFrame, cfg: dict | None = None, floor: bool = True) -> D
     return df.withColumn("final_effect", F.when(F.col("budget_floored"), wish).otherwise(F.col("final_effect")))
 
 
+def those(items: list[tuple[Column, Column]]) -> Column:
+    """The array of the items whose condition holds. Arrays of one or none are joined, as generated code does that, while a
+    lambda over an array makes Spark interpret all that goes in, scores included."""
+    return F.concat(*[F.when(holds, F.array(x)).otherwise(F.slice(F.array(x), 1, 0)) for holds, x in items])
+
+
 def evidence_items() -> Column:
     """(code, metric, value, threshold) of each check that holds, and of entity scores from 90 on."""
     checks = [F.struct(F.lit(c).alias("code"), F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"), F.lit(t).alias("threshold")) for c, m, t in D.EVIDENCE]
     checks += [F.struct(F.lit(f"ENTITY_{k.upper()}_EXTREME").alias("code"), F.lit(f"{k}_score").alias("metric"), F.col(f"{k}_score").alias("value"), F.lit(90.0).alias("threshold")) for k in ("user", "driver", "vendor")]
-    return F.filter(F.array(*checks), lambda x: x["value"] >= x["threshold"])
+    return those([(x["value"] >= x["threshold"], x) for x in checks])
 
 
 def contributions() -> Column:
@@ -191,8 +197,8 @@ def contributions() -> Column:
 
 def with_evidence(df: DataFrame) -> DataFrame:
     df = df.withColumns({"evidence": evidence_items(), "contributions": contributions()})
-    more = [F.when(F.col("budget_floored"), F.lit("BUDGET_FLOOR")), F.when(F.col("overlay") != "", F.concat(F.lit("OVERLAY_"), F.col("overlay")))]
-    codes = F.concat(F.transform("evidence", lambda e: e["code"]), F.col("effect_reasons"), F.col("challenge_reasons"), F.array_compact(F.array(*more)))
+    more = [(F.col("budget_floored"), F.lit("BUDGET_FLOOR")), (F.col("overlay") != "", F.concat(F.lit("OVERLAY_"), F.col("overlay")))]
+    codes = F.concat(F.col("evidence.code"), F.col("effect_reasons"), F.col("challenge_reasons"), those(more))
     return df.withColumn("reason_codes", codes)
 
 

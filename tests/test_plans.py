@@ -143,3 +143,12 @@ def test_edges_as_of_orders_read_a_settled_history(spark, sf):
     for grain in ("order", "day"):
         out = graph.edge_as_of(orders, hist, grain)
         assert joins(out) <= 3 and "row_number" not in plan(out)
+
+
+def test_evidence_is_not_interpreted(spark, sf):
+    """No lambda over an array that the scores go into: Spark would interpret them for each row."""
+    cols = {c: F.lit(1.0) for c in {m for _, m, _ in scoring.D.EVIDENCE} | {f"{k}_score" for k in ("user", "driver", "vendor")}}
+    out = spark.range(1).withColumns(cols).select(scoring.evidence_items().alias("evidence"))
+    assert "lambda" not in plan(out)
+    codes = spark.range(1).withColumns({c: F.lit(0.0) for c in cols} | {"user_score": F.lit(95.0), "user_refund_rate_30d": F.lit(0.15), "driver_score": F.lit(None).cast("double")}).select(scoring.evidence_items().alias("evidence")).first().evidence
+    assert [x.code for x in codes] == ["USER_REFUND_RATE_30D", "ENTITY_USER_EXTREME"]
